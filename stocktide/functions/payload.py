@@ -11,12 +11,15 @@ objects or arrays in a scalar field count as unusable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What the text of a number may look like.
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 SPECIAL_NUMBER_TEXT = r"^\s*[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+OBJECT_TEXT = r"^\s*[{]"
 WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 
 
@@ -29,15 +32,35 @@ def decode(message: Column, binary: bool = True) -> Column:
     return F.try_parse_json(message.cast("string") if binary else message)
 
 
+def with_fields(df: DataFrame, value: str, names: Iterable[str]) -> DataFrame:
+    """Parse a message column once and add kind and text of the named top-level fields.
+
+    The two steps are separate projections on purpose: later expressions use kind and text
+    many times, and Spark then keeps them as columns instead of parsing again. ``_object``
+    tells whether the message is a JSON object at all.
+    """
+    parsed = df.withColumn("_doc", decode(F.col(value)))
+    looks_like_object = F.col(value).cast("string").rlike(OBJECT_TEXT)
+    columns = {"_object": F.col("_doc").isNotNull() & F.coalesce(looks_like_object, F.lit(False))}
+    for name in names:
+        inner = F.try_variant_get("_doc", f"$.{name}", "variant")
+        columns[f"_kind_{name}"] = F.schema_of_variant(inner)
+        columns[f"_text_{name}"] = F.try_variant_get("_doc", f"$.{name}", "string")
+    return parsed.withColumns(columns)
+
+
+def is_object() -> Column:
+    return F.col("_object")
+
+
 class Field:
-    """One top-level field of a decoded payload."""
-
-    def __init__(self, document: Column, name: str):
-        self.value = F.try_variant_get(document, f"$.{name}", "variant")
-        self.kind = F.schema_of_variant(self.value)
-        self.text = F.try_variant_get(document, f"$.{name}", "string")
-        self.absent = self.value.isNull()
-        self.null = F.is_variant_null(self.value)
+    """One top-level field of a message read with ``with_fields``."""
+
+    def __init__(self, name: str):
+        self.kind = F.col(f"_kind_{name}")
+        self.text = F.col(f"_text_{name}")
+        self.absent = self.kind.isNull()
+        self.null = F.coalesce(self.kind == "VOID", F.lit(False))
         self.missing = self.absent | self.null
         self.is_text = self.kind == "STRING"
         self.is_flag = self.kind == "BOOLEAN"

@@ -44,4 +44,4 @@ def top(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 def formatted(df: DataFrame, key: str, value: Column, name: str = "line", pattern: str = C.DEVICE_REPORT) -> DataFrame:
     """One text line per row; the value is rounded in decimal before printing."""
-    return df.select(F.format_string(pattern, F.col(key).cast("string"), value.cast("decimal(18,2)")).alias(name))
+    return df.select(F.format_string(pattern, F.col(key).cast("string"), value.cast("decimal(18,2)").cast("double")).alias(name))

@@ -242,5 +242,5 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     return (
         table.groupBy(F.col("_metadata.file_path").alias("file_path"))
         .agg(F.count(F.lit(1)).alias("record_count"))
-        .select("file_path", F.lit("PARQUET").alias("file_format"), F.ltrim(F.lit("/"), tail).alias("partition"), "record_count")
+        .select("file_path", F.lit("PARQUET").alias("file_format"), F.ltrim(tail, F.lit("/")).alias("partition"), "record_count")
     )

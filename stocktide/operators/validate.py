@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide import contracts as C
-from stocktide.functions.payload import Field, decode
+from stocktide.functions.payload import Field, is_object, with_fields
 
 MALFORMED = "MALFORMED"
 MISSING = "MISSING_REQUIRED"
@@ -69,17 +69,16 @@ CUSTOMER_RULES = Rules(
 )
 
 
-def _tagged(df: DataFrame, value: str, columns: list[Column], reason: Column) -> DataFrame:
-    """Add ``row`` and ``reason`` to the input columns, parsing each message once."""
-    return df.withColumn("_doc", decode(F.col(value))).select(
+def _tagged(df: DataFrame, value: str, names, columns: list[Column], reason: Column) -> DataFrame:
+    """Add ``row`` and ``reason`` to the input columns."""
+    return with_fields(df, value, names).select(
         *df.columns, F.struct(*columns).alias("row"), reason.alias("reason")
     )
 
 
 def tag(df: DataFrame, rules: Rules, value: str = "value", compat: bool = False, keep_zero: bool = False) -> DataFrame:
     """Apply rules. ``keep_zero`` counts a numeric zero as given (a truthiness test drops it)."""
-    doc = F.col("_doc")
-    fields = {name: Field(doc, name) for name in {*rules.order, *rules.required}}
+    fields = {name: Field(name) for name in rules.order}
     out: dict[str, Column] = {}
     for name in rules.text:
         out[name] = fields[name].as_text()
@@ -104,11 +103,10 @@ def tag(df: DataFrame, rules: Rules, value: str = "value", compat: bool = False,
     readable = F.lit(True)
     for name in rules.order:
         readable = readable & out[name].isNotNull()
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
     reason = (
-        F.when(~is_object, MALFORMED).when(~complete, MISSING).when(~readable, UNUSABLE)
+        F.when(~is_object(), MALFORMED).when(~complete, MISSING).when(~readable, UNUSABLE)
     )
-    return _tagged(df, value, [out[name].alias(name) for name in rules.order], reason)
+    return _tagged(df, value, rules.order, [out[name].alias(name) for name in rules.order], reason)
 
 
 def tag_orders(df: DataFrame, **options) -> DataFrame:
@@ -123,13 +121,15 @@ def tag_customers(df: DataFrame, **options) -> DataFrame:
     return tag(df, CUSTOMER_RULES, **options)
 
 
+SENSOR_FIELDS = ("device_id", "temperature", "humidity", "status", "timestamp")
+
+
 def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) -> DataFrame:
     """Sensor messages: device and status are needed, only status OK is wanted, both
     readings have to be numbers."""
-    doc = F.col("_doc")
-    device, status = Field(doc, "device_id"), Field(doc, "status")
-    temperature, humidity = Field(doc, "temperature"), Field(doc, "humidity")
-    stamp = Field(doc, "timestamp")
+    device, status = Field("device_id"), Field("status")
+    temperature, humidity = Field("temperature"), Field("humidity")
+    stamp = Field("timestamp")
     when = stamp.as_text()
     if compat:
         when = F.coalesce(when, F.when(stamp.missing, F.lit("None")))
@@ -140,23 +140,21 @@ def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) ->
         status.as_text().alias("status"),
         when.alias("timestamp"),
     ]
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
     wanted = F.coalesce(status.is_text & (status.text == C.OK_STATUS), F.lit(False))
     reason = (
-        F.when(~is_object, MALFORMED)
+        F.when(~is_object(), MALFORMED)
         .when(~device.truthy() | status.missing, MISSING)
         .when(~wanted, NOT_WANTED)
         .when(temperature.as_double().isNull() | humidity.as_double().isNull(), UNUSABLE)
     )
-    return _tagged(df, value, columns, reason)
+    return _tagged(df, value, SENSOR_FIELDS, columns, reason)
 
 
 def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
     """Sensor messages for windows: device and a readable time are needed; readings that
     are missing stay null, readings that are not numbers reject the message."""
-    doc = F.col("_doc")
-    device, status, stamp = Field(doc, "device_id"), Field(doc, "status"), Field(doc, "timestamp")
-    temperature, humidity = Field(doc, "temperature"), Field(doc, "humidity")
+    device, status, stamp = Field("device_id"), Field("status"), Field("timestamp")
+    temperature, humidity = Field("temperature"), Field("humidity")
     ts = F.when(stamp.is_text, F.try_to_timestamp(stamp.text))
     columns = [
         device.as_text().alias("device_id"),
@@ -165,16 +163,15 @@ def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
         humidity.as_double().alias("humidity"),
         status.as_text().alias("status"),
     ]
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
     spoiled = (~temperature.absent & temperature.as_double().isNull()) | (
         ~humidity.absent & humidity.as_double().isNull()
     )
     reason = (
-        F.when(~is_object, MALFORMED)
+        F.when(~is_object(), MALFORMED)
         .when(~device.truthy() | ~stamp.truthy(), MISSING)
         .when(ts.isNull() | device.as_text().isNull() | spoiled, UNUSABLE)
     )
-    return _tagged(df, value, columns, reason)
+    return _tagged(df, value, SENSOR_FIELDS, columns, reason)
 
 
 def valid(tagged: DataFrame) -> DataFrame:

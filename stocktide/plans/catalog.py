@@ -104,15 +104,14 @@ def table_append_mode(spark, d):
 
 @query
 def days_replaced(spark, d):
-    """Daily sales written twice, the second time only for days from 1998 on with zero revenue."""
-    path = scratch_path(spark, "days")
-    sales = A.sales_daily(S.raw_orders(spark, d))
-    O.replace_days(sales, path, ["date"])
-    later = spark.read.schema(U.SALES_COLUMNS).parquet(path).where(F.col("date") >= "1998-01-01")
-    zeroed = scratch_path(spark, "zeroed")
-    O.write_table(later.withColumn("total_revenue", F.lit(0.0)), zeroed, "overwrite")
-    O.replace_days(spark.read.parquet(zeroed), path, ["date"])
-    return spark.read.schema(U.SALES_COLUMNS).parquet(path)
+    """Daily sales in month folders, written twice: the second time only the months from 1998
+    on, with zero revenue."""
+    path = scratch_path(spark, "months")
+    sales = A.sales_daily(S.raw_orders(spark, d)).withColumn("month", F.substring("date", 1, 7))
+    O.replace_days(sales, path, ["month"])
+    zeroed = sales.where(F.col("date") >= "1998-01-01").withColumn("total_revenue", F.lit(0.0))
+    O.replace_days(zeroed, path, ["month"])
+    return spark.read.parquet(path).drop("month")
 
 
 @query
@@ -479,7 +478,7 @@ def snapshot_log(spark, d):
     listed = H.snapshot_log(commits)
     return listed.select(
         "version",
-        F.when(F.col("version") > 1, F.col("version") - 1).alias("parent"),
+        F.when(F.col("version") > 1, F.col("version") - 1).cast("double").alias("parent"),
         "committed_at", F.lit("append").alias("operation"), "added_rows", "total_rows",
     )
 
@@ -512,8 +511,8 @@ def version_diff(spark, d):
     diff = H.version_diff(S.inventory_changes(spark, d), KEYS, 7, 8)
     return diff.select(
         *KEYS, "change",
-        F.col("before.quantity_on_hand").alias("quantity_before"),
-        F.col("after.quantity_on_hand").alias("quantity_after"),
+        F.col("before.quantity_on_hand").cast("double").alias("quantity_before"),
+        F.col("after.quantity_on_hand").cast("double").alias("quantity_after"),
     )
 
 
@@ -555,7 +554,7 @@ def stored_commits(spark, d):
     gone = H.delete_changes(H.current(changes, ["event_id"]), F.col("temperature") > 30.0)
     H.commit(spark, path, gone, "delete", "2026-06-10 12:00:00")
     _, commits = H.read_log(spark, path)
-    return _local(commits.drop("batch_id"), "committed_at")
+    return _local(commits.drop("batch_id"), "committed_at").withColumn("parent", F.col("parent").cast("double"))
 
 
 @query
@@ -646,7 +645,8 @@ def compacted(spark, d):
 
 @query
 def retain_recent(spark, d):
-    return Y.retain_recent(_dated(spark, d), F.lit("2024-01-30"), 7)
+    recent = Y.retain_recent(_dated(spark, d), F.lit("2024-01-30"), 7)
+    return recent.withColumn("date", F.col("date").cast("string"))
 
 
 # -- windows -------------------------------------------------------------------------
@@ -817,6 +817,7 @@ def curated_run(spark, d):
 
     root = scratch_path(spark, "curated")
     done = run_curated(
-        spark, S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d), root, ["seq"]
+        spark, S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d), root, ["seq"],
+        sales_by="month",
     )
     return done.product_performance

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stocktide.operators import aggregates, curation, quality
 from stocktide.session import scratch_path
@@ -50,17 +51,22 @@ def _upserted(spark: SparkSession, path: str, columns: str, change, partition_by
 
 def run_curated(
     spark: SparkSession, orders: DataFrame, inventory: DataFrame, customers: DataFrame, root: str,
-    tie: list[str], stock_once: bool = False,
+    tie: list[str], stock_once: bool = False, sales_by: str = "date",
 ) -> Curated:
     """Daily sales, current stock, customer profiles, product performance, store revenue.
 
     Each table is written once and read back by the steps after it. Sales replace exactly
-    the days present in ``orders``, so a rerun changes nothing. The revenue report is
-    published only when its quality rules hold.
+    the days present in ``orders`` (or the months, with ``sales_by="month"`` for a long
+    history of thin days), so a rerun changes nothing. The revenue report is published only
+    when its quality rules hold.
     """
     sales_path, stock_path = f"{root}/sales_daily", f"{root}/inventory_by_store"
-    replace_days(aggregates.sales_daily(orders), sales_path, ["date"])
-    sales = spark.read.schema(curation.SALES_COLUMNS).parquet(sales_path)
+    daily = aggregates.sales_daily(orders)
+    schema = curation.SALES_COLUMNS
+    if sales_by == "month":
+        daily, schema = daily.withColumn("month", F.substring("date", 1, 7)), f"{schema}, month string"
+    replace_days(daily, sales_path, [sales_by])
+    sales = spark.read.schema(schema).parquet(sales_path)
 
     stock = _upserted(
         spark, stock_path, curation.INVENTORY_COLUMNS,

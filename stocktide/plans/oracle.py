@@ -557,19 +557,19 @@ def statements() -> dict[str, str]:
         "delete_where": t + "SELECT * FROM telemetry WHERE NOT COALESCE(temperature > 30.0, false)",
         "snapshot_log": """WITH days AS (SELECT CAST(ts AS DATE) AS day, MAX(ts) AS committed_at, COUNT(*) AS added_rows
             FROM events GROUP BY 1), v AS (SELECT *, row_number() OVER (ORDER BY day) AS version FROM days)
-            SELECT version, CASE WHEN version > 1 THEN version - 1 END AS parent, committed_at,
+            SELECT version, CAST(CASE WHEN version > 1 THEN version - 1 END AS DOUBLE) AS parent, committed_at,
             'append' AS operation, added_rows, CAST(SUM(added_rows) OVER (ORDER BY version) AS BIGINT) AS total_rows FROM v""",
         "commit_summary": f"""WITH {CHANGES} SELECT version, MAX(event_time) AS committed_at,
             COUNT(*) FILTER (WHERE op = 'upsert') AS upserts, COUNT(*) FILTER (WHERE op = 'delete') AS deletes
             FROM changes GROUP BY 1""",
         "as_of_version": f"WITH {CHANGES} {state('version <= 7')}",
-        "as_of_time": f"""WITH {CHANGES}, at AS (SELECT version, MAX(event_time) AS committed_at FROM changes GROUP BY 1)
-            {state("version <= (SELECT MAX(a.version) FROM at a WHERE a.committed_at <= '2000-01-15T00:00:00Z')")}""",
+        "as_of_time": f"""WITH {CHANGES}, moments AS (SELECT version, MAX(event_time) AS committed_at FROM changes GROUP BY 1)
+            {state("version <= (SELECT MAX(a.version) FROM moments a WHERE a.committed_at <= '2000-01-15T00:00:00Z')")}""",
         "current_state": f"WITH {CHANGES} {state('true')}",
         "version_diff": f"""WITH {CHANGES}, a AS ({state('version <= 7')}), b AS ({state('version <= 8')})
             SELECT COALESCE(a.store_id, b.store_id) AS store_id, COALESCE(a.product_id, b.product_id) AS product_id,
             CASE WHEN a.store_id IS NULL THEN 'added' WHEN b.store_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
-            a.quantity_on_hand AS quantity_before, b.quantity_on_hand AS quantity_after
+            CAST(a.quantity_on_hand AS DOUBLE) AS quantity_before, CAST(b.quantity_on_hand AS DOUBLE) AS quantity_after
             FROM a FULL OUTER JOIN b ON a.store_id = b.store_id AND a.product_id = b.product_id
             WHERE a.store_id IS NULL OR b.store_id IS NULL OR a.quantity_on_hand <> b.quantity_on_hand
             OR a.supplier_id <> b.supplier_id OR a.event_time <> b.event_time""",
@@ -577,7 +577,7 @@ def statements() -> dict[str, str]:
         "rollback_state": f"WITH {CHANGES} {state('version <= 7')}",
         "stored_history": t + """SELECT event_id, device_id, ts, temperature,
             CASE WHEN device_id = '3' THEN 62.5 ELSE humidity END AS humidity, status FROM telemetry""",
-        "stored_commits": t + """SELECT CAST(1 AS BIGINT) AS version, CAST(NULL AS BIGINT) AS parent,
+        "stored_commits": t + """SELECT CAST(1 AS BIGINT) AS version, CAST(NULL AS DOUBLE) AS parent,
             TIMESTAMP '2026-06-10 10:00:00' AS committed_at, 'insert' AS operation, COUNT(*) AS upserts,
             CAST(0 AS BIGINT) AS deletes FROM telemetry
             UNION ALL SELECT 2, 1, TIMESTAMP '2026-06-10 12:00:00', 'delete', 0, COUNT(*) FROM telemetry
@@ -596,7 +596,7 @@ def statements() -> dict[str, str]:
         "partition_preserves_rows": f"WITH {RATINGS} SELECT * FROM ratings",
         "partition_rows": "SELECT CAST(4 AS BIGINT) AS partitions, COUNT(*) AS rows FROM lineitem",
         "compacted": t + "SELECT * FROM telemetry",
-        "retain_recent": t + """SELECT *, CAST(ts AS DATE) AS date FROM telemetry
+        "retain_recent": t + """SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM telemetry
             WHERE CAST(ts AS DATE) >= DATE '2024-01-23'""",
         "tumbling_hour": tumbling("1 hour"),
         "tumbling_minute": tumbling("1 minute"),

@@ -25,7 +25,7 @@ def _plain(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
 
     def cell(value):
-        if value is None or value is pd.NaT or (isinstance(value, float) and value != value):
+        if value is None or value is pd.NaT or value is pd.NA or (isinstance(value, float) and value != value):
             return "~"
         if isinstance(value, pd.Timestamp):
             return value.isoformat()
