@@ -16,11 +16,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What the text of a number may look like.
-NUMBER_TEXT = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
-SPECIAL_NUMBER_TEXT = r"^\s*[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+# The texts that count as what.
 OBJECT_TEXT = r"^\s*[{]"
-WHOLE_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER_TEXT = r"^\s*[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*$"
+NUMERIC_KIND = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+# kind and text joined by a colon, for a number that is not zero or a flag that is true
+TRUTHY = r"^(BOOLEAN:true|(BIGINT|DOUBLE|FLOAT|DECIMAL[^:]*):[^:]*[1-9])"
 
 
 def decode(message: Column, binary: bool = True) -> Column:
@@ -32,12 +33,15 @@ def decode(message: Column, binary: bool = True) -> Column:
     return F.try_parse_json(message.cast("string") if binary else message)
 
 
-def with_fields(df: DataFrame, value: str, names: Iterable[str]) -> DataFrame:
-    """Parse a message column once and add kind and text of the named top-level fields.
+def with_fields(df: DataFrame, value: str, names: Iterable[str], numbers: Iterable[str] = ()) -> DataFrame:
+    """Parse a message column once and add what the fields hold.
 
-    The two steps are separate projections on purpose: later expressions use kind and text
-    many times, and Spark then keeps them as columns instead of parsing again. ``_object``
-    tells whether the message is a JSON object at all.
+    Per field: ``_kind_*`` and ``_text_*``; for the ``numbers`` also ``_long_*`` and
+    ``_double_*``. ``_object`` tells whether the message is a JSON object at all.
+
+    The values go through a one-element ``inline``. That keeps them computed once: a filter
+    on something derived from them would otherwise be pushed below the parsing, which then
+    runs again for every mention of a field.
     """
     parsed = df.withColumn("_doc", decode(F.col(value)))
     looks_like_object = F.col(value).cast("string").rlike(OBJECT_TEXT)
@@ -46,7 +50,10 @@ def with_fields(df: DataFrame, value: str, names: Iterable[str]) -> DataFrame:
         inner = F.try_variant_get("_doc", f"$.{name}", "variant")
         columns[f"_kind_{name}"] = F.schema_of_variant(inner)
         columns[f"_text_{name}"] = F.try_variant_get("_doc", f"$.{name}", "string")
-    return parsed.withColumns(columns)
+    for name in numbers:
+        columns[f"_long_{name}"] = F.try_variant_get("_doc", f"$.{name}", "bigint")
+        columns[f"_double_{name}"] = F.try_variant_get("_doc", f"$.{name}", "double")
+    return parsed.withColumns(columns).select(*df.columns, F.inline(F.array(F.struct(*columns))))
 
 
 def is_object() -> Column:
@@ -54,50 +61,38 @@ def is_object() -> Column:
 
 
 class Field:
-    """One top-level field of a message read with ``with_fields``."""
+    """One field of a message read with ``with_fields``."""
 
     def __init__(self, name: str):
+        self.name = name
         self.kind = F.col(f"_kind_{name}")
         self.text = F.col(f"_text_{name}")
         self.absent = self.kind.isNull()
-        self.null = F.coalesce(self.kind == "VOID", F.lit(False))
+        self.null = self.kind.eqNullSafe(F.lit("VOID"))
         self.missing = self.absent | self.null
         self.is_text = self.kind == "STRING"
-        self.is_flag = self.kind == "BOOLEAN"
-        self.is_whole = self.kind == "BIGINT"
-        self.is_fraction = self.kind.startswith("DECIMAL") | self.kind.isin("DOUBLE", "FLOAT")
-        self.is_scalar = self.is_text | self.is_flag | self.is_whole | self.is_fraction
+        self.is_number = self.kind.rlike(NUMERIC_KIND)
 
     def as_double(self) -> Column:
-        """float(): text numbers are read, anything else gives null."""
-        readable = self.text.rlike(NUMBER_TEXT) | self.text.rlike(SPECIAL_NUMBER_TEXT)
-        return (
-            F.when(self.is_text, F.when(readable, F.trim(self.text).try_cast("double")))
-            .when(self.is_flag, F.when(self.text == "true", F.lit(1.0)).otherwise(F.lit(0.0)))
-            .when(self.is_whole | self.is_fraction, self.text.try_cast("double"))
-        )
+        """float(): numbers, flags and number text; anything else gives null."""
+        unreadable = self.is_text & ~self.text.rlike(NUMBER_TEXT)
+        return F.when(~unreadable, F.col(f"_double_{self.name}"))
 
     def as_long(self) -> Column:
-        """int(): cuts fractions of numbers, reads whole-number text, anything else gives null."""
-        return (
-            F.when(self.is_text, F.when(self.text.rlike(WHOLE_TEXT), F.trim(self.text).try_cast("bigint")))
-            .when(self.is_flag, F.when(self.text == "true", F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-            .when(self.is_whole, self.text.try_cast("bigint"))
-            .when(self.is_fraction, self.text.try_cast("decimal(38,6)").try_cast("bigint"))
-        )
+        """int(): cuts fractions of numbers, reads whole-number text; anything else gives null."""
+        return F.col(f"_long_{self.name}")
 
     def as_text(self) -> Column:
         """str() of a scalar; true and false are written with a capital."""
-        return F.when(self.is_flag, F.initcap(self.text)).when(self.is_scalar, self.text)
+        return (
+            F.when(self.is_text | self.kind.rlike(NUMERIC_KIND), self.text)
+            .when(self.kind == "BOOLEAN", F.initcap(self.text))
+        )
 
     def truthy(self) -> Column:
         """Given and not empty, zero or false."""
-        return F.coalesce(
-            F.when(self.is_text, self.text != "")
-            .when(self.is_flag, self.text == "true")
-            .when(self.is_whole | self.is_fraction, self.text.try_cast("double") != 0.0),
-            F.lit(False),
-        )
+        other = F.concat_ws(":", self.kind, self.text).rlike(TRUTHY)
+        return F.coalesce(F.when(self.is_text, self.text != "").otherwise(other), F.lit(False))
 
     def text_or(self, default: Column | str, literal_null: bool = False) -> Column:
         """Text with a default for an absent field.
@@ -106,8 +101,6 @@ class Field:
         word ``None`` that a str() of it would give.
         """
         default = F.lit(default) if isinstance(default, str) else default
-        return (
-            F.when(self.absent, default)
-            .when(self.null, F.lit("None") if literal_null else default)
-            .otherwise(self.as_text())
-        )
+        if not literal_null:
+            return F.when(self.missing, default).otherwise(self.as_text())
+        return F.when(self.absent, default).when(self.null, F.lit("None")).otherwise(self.as_text())

@@ -69,9 +69,9 @@ CUSTOMER_RULES = Rules(
 )
 
 
-def _tagged(df: DataFrame, value: str, names, columns: list[Column], reason: Column) -> DataFrame:
+def _tagged(df: DataFrame, value: str, names, numbers, columns: list[Column], reason: Column) -> DataFrame:
     """Add ``row`` and ``reason`` to the input columns."""
-    return with_fields(df, value, names).select(
+    return with_fields(df, value, names, numbers).select(
         *df.columns, F.struct(*columns).alias("row"), reason.alias("reason")
     )
 
@@ -94,7 +94,7 @@ def tag(df: DataFrame, rules: Rules, value: str = "value", compat: bool = False,
     def given(name: str) -> Column:
         field = fields[name]
         if keep_zero and name in (*rules.whole, *rules.number):
-            return field.truthy() | field.is_whole | field.is_fraction
+            return field.truthy() | F.coalesce(field.is_number, F.lit(False))
         return field.truthy()
 
     complete = F.lit(True)
@@ -106,7 +106,7 @@ def tag(df: DataFrame, rules: Rules, value: str = "value", compat: bool = False,
     reason = (
         F.when(~is_object(), MALFORMED).when(~complete, MISSING).when(~readable, UNUSABLE)
     )
-    return _tagged(df, value, rules.order, [out[name].alias(name) for name in rules.order], reason)
+    return _tagged(df, value, rules.order, (*rules.whole, *rules.number), [out[name].alias(name) for name in rules.order], reason)
 
 
 def tag_orders(df: DataFrame, **options) -> DataFrame:
@@ -122,6 +122,7 @@ def tag_customers(df: DataFrame, **options) -> DataFrame:
 
 
 SENSOR_FIELDS = ("device_id", "temperature", "humidity", "status", "timestamp")
+SENSOR_NUMBERS = ("temperature", "humidity")
 
 
 def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) -> DataFrame:
@@ -147,7 +148,7 @@ def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) ->
         .when(~wanted, NOT_WANTED)
         .when(temperature.as_double().isNull() | humidity.as_double().isNull(), UNUSABLE)
     )
-    return _tagged(df, value, SENSOR_FIELDS, columns, reason)
+    return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, columns, reason)
 
 
 def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
@@ -171,7 +172,7 @@ def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
         .when(~device.truthy() | ~stamp.truthy(), MISSING)
         .when(ts.isNull() | device.as_text().isNull() | spoiled, UNUSABLE)
     )
-    return _tagged(df, value, SENSOR_FIELDS, columns, reason)
+    return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, columns, reason)
 
 
 def valid(tagged: DataFrame) -> DataFrame:
