@@ -170,7 +170,7 @@ def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/commits")
     changes = spark.read.parquet(f"{path}/changes").withColumn("_version", F.col("_version").cast("bigint"))
     known = commits.select(F.col("version").alias("_version"))
-    return changes.join(F.broadcast(known), "_version", "left_semi").select(*changes.columns), commits
+    return changes.join(known, "_version", "left_semi").select(*changes.columns), commits
 
 
 def commit(

@@ -54,7 +54,8 @@ def numbered_by_window(df: DataFrame, order: list[Column], name: str = "id", fir
 
 
 def running_max(df: DataFrame, key: str, order: list[Column], value: str, name: str) -> DataFrame:
-    """Greatest value of all earlier rows of the same key; ``order`` has to be unique.
+    """Greatest value of all earlier rows of the same key; ``order`` has to be unique. A row
+    without a key has no earlier rows.
 
     A key may span many partitions: the maximum before a partition comes from the
     (partition, key) summaries, the maximum inside from a window over (partition, key),
@@ -68,10 +69,8 @@ def running_max(df: DataFrame, key: str, order: list[Column], value: str, name:
         Window.partitionBy("_part", key).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     )
     local = ranged.withColumn("_local", F.max(value).over(inside))
-    return (
-        local.join(carried, (local["_part"] == carried["_part"]) & local[key].eqNullSafe(carried[key]), "left")
-        .select(*[local[c] for c in df.columns], F.greatest("_local", "_carried").alias(name))
-    )
+    seen = F.when(F.col(key).isNotNull(), F.greatest("_local", "_carried"))
+    return local.join(carried, ["_part", key], "left").select(*df.columns, seen.alias(name))
 
 
 def running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
