@@ -238,9 +238,10 @@ def snapshot_log(commits: DataFrame, added: str = "added_rows") -> DataFrame:
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Data files of a Parquet table with format, partition folder and number of records."""
     table = spark.read.parquet(path)
-    tail = F.regexp_extract("file_path", r"((?:/[^/=]+=[^/]+)+)/[^/]+$", 1)
+    root = path.rstrip("/").split("://")[-1]
+    inside = F.substring_index("file_path", f"{root}/", -1)
     return (
         table.groupBy(F.col("_metadata.file_path").alias("file_path"))
         .agg(F.count(F.lit(1)).alias("record_count"))
-        .select("file_path", F.lit("PARQUET").alias("file_format"), F.ltrim(tail, F.lit("/")).alias("partition"), "record_count")
+        .select("file_path", F.lit("PARQUET").alias("file_format"), F.regexp_replace(inside, "/?[^/]+$", "").alias("partition"), "record_count")
     )

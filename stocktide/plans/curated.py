@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktide.operators import aggregates, curation, quality
 from stocktide.session import scratch_path
@@ -31,10 +32,16 @@ def newest_generation(spark: SparkSession, path: str) -> int:
     return max((int(one.getPath().getParent().getName().split("=")[1]) for one in done), default=0)
 
 
+def _table(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """A Parquet table under its declared columns, in their order (folders come last otherwise)."""
+    schema = T.StructType.fromDDL(columns)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def _read(spark: SparkSession, path: str, columns: str, generation: int) -> DataFrame:
     if generation == 0:
         return spark.createDataFrame([], columns)
-    return spark.read.schema(columns).parquet(f"{path}/generation={generation}")
+    return _table(spark, f"{path}/generation={generation}", columns)
 
 
 def _upserted(spark: SparkSession, path: str, columns: str, change, partition_by: list[str] | None = None) -> DataFrame:
@@ -66,7 +73,7 @@ def run_curated(
     if sales_by == "month":
         daily, schema = daily.withColumn("month", F.substring("date", 1, 7)), f"{schema}, month string"
     replace_days(daily, sales_path, [sales_by])
-    sales = spark.read.schema(schema).parquet(sales_path)
+    sales = _table(spark, sales_path, schema)
 
     stock = _upserted(
         spark, stock_path, curation.INVENTORY_COLUMNS,
