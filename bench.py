@@ -39,8 +39,6 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions=cpus, spark__driver__memory=os.environ.get("BENCH_MEMORY", "12g"),
-        # small files: let a table of a few MB still use every core
-        spark__sql__files__maxPartitionBytes="4m", spark__sql__files__openCostInBytes="262144",
     )
     spark.sparkContext.setLogLevel("ERROR")
     every = catalog.queries()

@@ -23,6 +23,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktide import contracts as C
 from stocktide.operators.latest import latest_per_key
 from stocktide.operators.ordered import running_total
 from stocktide.sources.writers import balanced
@@ -131,6 +132,17 @@ def expire(changes: DataFrame, keys: list[str], keep_from: int) -> DataFrame:
     return base.select(*changes.columns).unionByName(later)
 
 
+def expire_older(
+    changes: DataFrame, commits: DataFrame, keys: list[str], as_of: str, days: int = C.KEEP_VERSIONS_DAYS
+) -> DataFrame:
+    """Expire by age: the version that was current ``days`` before ``as_of`` becomes the base.
+    Nothing happens while the whole history is younger than that."""
+    limit = F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days))
+    old = commits.where(F.col("committed_at").cast("timestamp") <= limit)
+    base = old.agg(F.max("version").alias("v")).first()["v"]
+    return changes if base is None else expire(changes, keys, base)
+
+
 # -- changes made by row-level statements ----------------------------------------
 
 

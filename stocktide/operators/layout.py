@@ -104,7 +104,7 @@ def pruning_report(df: DataFrame) -> dict[str, str | int]:
     }
 
 
-def retain_recent(df: DataFrame, as_of: Column, days: int, day_column: str = "date") -> DataFrame:
+def retain_recent(df: DataFrame, as_of: Column, days: int = C.KEEP_RAW_DAYS, day_column: str = "date") -> DataFrame:
     """Rows of the last ``days`` days before a date; on a partition column this prunes."""
     return df.where(F.col(day_column).cast("date") >= F.date_sub(as_of.cast("date"), days))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stocktide import contracts as C
 from stocktide.functions.numeric import mean, reading
-from stocktide.functions.times import ago, iso_text, spread_day, written_day
+from stocktide.functions.times import ago, event_time, iso_text, spread_day, written_day
 from stocktide.operators import aggregates as A
 from stocktide.operators import basics as B
 from stocktide.operators import contract_check as K
@@ -26,6 +26,7 @@ from stocktide.operators import lateness, ordered, quality, upsert
 from stocktide.operators import validate as V
 from stocktide.operators import windows as W
 from stocktide.plans import samples as S
+from stocktide.plans.curated import run_curated
 from stocktide.session import scratch_path
 from stocktide.sources import messages as M
 from stocktide.sources import readers as R
@@ -370,9 +371,7 @@ def latest_customer(spark, d):
 
 @query
 def dedup_orders(spark, d):
-    from stocktide.functions.times import event_time
-
-    return L.first_per_key(S.raw_orders(spark, d), ["order_id"], [event_time(F.col("event_time"))])
+    return L.first_per_key(S.raw_orders(spark, d, spread_out=True), ["order_id"], [event_time(F.col("event_time"))])
 
 
 @query
@@ -414,6 +413,7 @@ def product_performance_fixed(spark, d):
 def _inventory_sides(spark, d, bad):
     """Target and updates from two complementary parts of the events."""
     events = S.raw_inventory(spark, d)
+    bad = F.coalesce(bad, F.lit(False))
     target = U.latest_inventory(events.where(~bad), ["seq"]).select(
         "store_id", "product_id", "quantity_on_hand", F.col("event_time").alias("last_updated"), "supplier_id"
     )
@@ -522,6 +522,14 @@ def expire_keeps_state(spark, d):
     return H.as_of_version(folded, KEYS, 8)
 
 
+@query
+def expire_by_age(spark, d):
+    """Versions older than a year before a date folded away; the newest state is read."""
+    changes = S.inventory_changes(spark, d)
+    commits = H.commit_summary(changes.withColumn("moment", F.try_to_timestamp("event_time")), "moment")
+    return H.current(H.expire_older(changes, commits, KEYS, "2001-01-15 00:00:00", 365), KEYS)
+
+
 @query
 def rollback_state(spark, d):
     changes = S.inventory_changes(spark, d)
@@ -610,7 +618,7 @@ def layout_evolution(spark, d):
     parts = {
         plain: rows.where("temperature < 10"),
         by_status: rows.where("temperature >= 10 and temperature < 30"),
-        by_bucket: rows.where("temperature >= 30"),
+        by_bucket: rows.where("temperature >= 30 or temperature is null"),
     }
     for layout, part in parts.items():
         Y.write_layout(part, path, layout)
@@ -813,8 +821,6 @@ def written_days(spark, d):
 @query
 def curated_run(spark, d):
     """The whole nightly run; its product table is the result."""
-    from stocktide.plans.curated import run_curated
-
     root = scratch_path(spark, "curated")
     done = run_curated(
         spark, S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d), root, ["seq"],

@@ -574,6 +574,7 @@ def statements() -> dict[str, str]:
             WHERE a.store_id IS NULL OR b.store_id IS NULL OR a.quantity_on_hand <> b.quantity_on_hand
             OR a.supplier_id <> b.supplier_id OR a.event_time <> b.event_time""",
         "expire_keeps_state": f"WITH {CHANGES} {state('version <= 8')}",
+        "expire_by_age": f"WITH {CHANGES} {state('true')}",
         "rollback_state": f"WITH {CHANGES} {state('version <= 7')}",
         "stored_history": t + """SELECT event_id, device_id, ts, temperature,
             CASE WHEN device_id = '3' THEN 62.5 ELSE humidity END AS humidity, status FROM telemetry""",

@@ -40,6 +40,16 @@ def shared_view(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} USING parquet OPTIONS (path '{quoted}')")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer pieces than there are cores.
+
+    A file with one large row group is one task, however costly the expressions on it are.
+    A table with enough pieces is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def explore(df: DataFrame, rows: int = 5) -> tuple[str, list, int]:
     """Schema text, a few rows and the row count; never the whole table."""
     return df.schema.treeString(), df.take(rows), df.count()

@@ -38,6 +38,14 @@ def consume(
     return _start(writer, once, every)
 
 
+def send_to_broker(
+    messages: DataFrame, servers: str, topic: str, checkpoint: str, once: bool = False, every: str = C.COMMIT_INTERVAL
+) -> StreamingQuery:
+    """Write a ``value`` column to a Kafka topic; needs the Kafka connector on the class path."""
+    writer = messages.select("value").writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    return _start(writer.option("topic", topic).option("checkpointLocation", checkpoint), once, every)
+
+
 def batch_folder(path: str, batch: int) -> str:
     return f"{path}/_batch={batch}"
 

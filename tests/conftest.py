@@ -20,7 +20,6 @@ def spark(tmp_path_factory):
         "tests", "local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8", spark__driver__memory="6g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

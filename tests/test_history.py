@@ -48,6 +48,18 @@ def test_expire_keeps_later_states(spark):
         assert state(H.as_of_version(folded, ["k"], version)) == states[version]
 
 
+def test_expire_by_age(spark):
+    changes, states = log(spark)
+    commits = spark.range(1, 21).select(
+        F.col("id").alias("version"), F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")).alias("committed_at")
+    )
+    kept = H.expire_older(changes, commits, ["k"], "2026-01-20 00:00:00")
+    assert kept.agg(F.min("_version")).first()[0] >= 12
+    for version in (12, 20):
+        assert state(H.as_of_version(kept, ["k"], version)) == states[version]
+    assert H.expire_older(changes, commits, ["k"], "2026-01-05 00:00:00").count() == changes.count()
+
+
 @pytest.mark.parametrize(("old", "new"), [(5, 9), (9, 5), (3, 3)])
 def test_diff(spark, old, new):
     changes, states = log(spark)
