@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stocktide.operators import aggregates, curation, quality
-from stocktide.session import scratch_path
+from stocktide.session import staged
 from stocktide.sources.writers import balanced, replace_days
 
 
@@ -75,22 +75,22 @@ def run_curated(
     replace_days(daily, sales_path, [sales_by])
     sales = _table(spark, sales_path, schema)
 
+    # a merge reads its source twice: stage the newest rows instead of finding them twice
+    newest_stock = staged(curation.latest_inventory(inventory, tie), "stock")
     stock = _upserted(
         spark, stock_path, curation.INVENTORY_COLUMNS,
-        lambda state: curation.merge_inventory(state, curation.latest_inventory(inventory, tie)), ["store_id"],
+        lambda state: curation.merge_inventory(state, newest_stock), ["store_id"],
     )
+    newest_people = staged(curation.latest_customers(customers, tie), "people")
     people = _upserted(
         spark, f"{root}/customer_360", curation.CUSTOMER_COLUMNS,
-        lambda state: curation.merge_customers(state, curation.latest_customers(customers, tie)),
+        lambda state: curation.merge_customers(state, newest_people),
     )
 
     products_path = f"{root}/product_performance"
     curation.product_performance(sales, stock, stock_once).write.mode("overwrite").parquet(products_path)
 
-    revenue = aggregates.store_revenue_by_day(sales)
-    draft = scratch_path(spark, "revenue")
-    revenue.write.parquet(draft)
-    report = spark.read.parquet(draft)
+    report = staged(aggregates.store_revenue_by_day(sales), "revenue")
     quality.require(report, quality.revenue_rules(), "daily store revenue is negative")
     report_path = f"{root}/daily_store_revenue"
     report.write.mode("overwrite").parquet(report_path)

@@ -64,6 +64,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df, label: str):
+    """Rows written once to the shared folder and read back, for results that are used twice."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pin(df):
     """Reliable checkpoint: fixes row placement and cuts lineage, survives executor loss."""
     shared_root(df.sparkSession)
