@@ -12,17 +12,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The largest table, on all cores: for queries that do much work per row."""
-    return spread(table(spark, sf_dir, "lineitem"))
+def scan(spark: SparkSession, sf_dir: str, name: str, spread_out: bool) -> DataFrame:
+    """A table, on all cores where a query does much work per row."""
+    rows = table(spark, sf_dir, name)
+    return spread(rows) if spread_out else rows
 
 
 def _midnight(ts: str) -> Column:
     return F.concat(F.col(ts).cast("date").cast("string"), F.lit("T00:00:00Z"))
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+def telemetry(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    return scan(spark, sf_dir, "events", spread_out).select(
         "event_id",
         F.col("user_id").cast("string").alias("device_id"),
         "ts",
@@ -39,7 +40,7 @@ def telemetry_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
-    items = lines(spark, sf_dir) if spread_out else table(spark, sf_dir, "lineitem")
+    items = scan(spark, sf_dir, "lineitem", spread_out)
     heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     status = (
         F.when(F.col("l_returnflag") == "N", "COMPLETED")
@@ -59,7 +60,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> Da
 
 
 def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines(spark, sf_dir).select(
+    return scan(spark, sf_dir, "lineitem", spread_out=True).select(
         F.col("l_suppkey").cast("string").alias("store_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         (F.col("l_quantity").cast("int") - 1).alias("quantity_on_hand"),
@@ -69,8 +70,8 @@ def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heads = table(spark, sf_dir, "orders")
+def raw_customers(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    heads = scan(spark, sf_dir, "orders", spread_out)
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     first = F.substring("o_orderpriority", 1, 1)
     tier = (
@@ -182,7 +183,7 @@ def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pair("customer_id", F.col("customer_id")), _pair("first_name", F.col("first_name")),
         _pair("last_name", last), email, level, signup, _pair("event_time", F.col("event_time")),
     )
-    return raw_customers(spark, sf_dir).select(document.cast("binary").alias("value"))
+    return raw_customers(spark, sf_dir, spread_out=True).select(document.cast("binary").alias("value"))
 
 
 def utc_text(ts: str) -> Column:
@@ -205,4 +206,4 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = F.when(h == 8, F.lit('"timestamp":"soon"')).when(h != 9, _pair("timestamp", utc_text("ts")))
     document = _document(device, temperature, humidity, status, stamp)
     cut = F.when(h == 10, F.substring(document, 1, 20)).otherwise(document)
-    return telemetry(spark, sf_dir).select(cut.cast("binary").alias("value"))
+    return telemetry(spark, sf_dir, spread_out=True).select(cut.cast("binary").alias("value"))
