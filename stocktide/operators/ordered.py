@@ -29,20 +29,20 @@ def in_ranges(df: DataFrame, *order: Column) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, order: list[Column], name: str = "id", first: int = C.FIRST_NUMBERED_ID) -> DataFrame:
-    """Consecutive ids in the given order, which has to be unique.
+def _starts(ranged: DataFrame, amount: Column, first: int) -> DataFrame:
+    """What all partitions before each one add up to. One number per partition reaches the
+    driver and goes back as a broadcast."""
+    amounts = sorted(ranged.groupBy("_part").agg(amount.alias("n")).collect())
+    starts = accumulate((row["n"] for row in amounts), initial=first)
+    rows = [(row["_part"], start) for row, start in zip(amounts, starts)]
+    return F.broadcast(ranged.sparkSession.createDataFrame(rows, "_part int, _start bigint"))
 
-    One range shuffle; only the row count of each partition (one number per task) reaches
-    the driver.
-    """
+
+def numbered(df: DataFrame, order: list[Column], name: str = "id", first: int = C.FIRST_NUMBERED_ID) -> DataFrame:
+    """Consecutive ids in the given order, which has to be unique; one range shuffle."""
     ranged = in_ranges(df, *order)
-    sizes = sorted(ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    starts = accumulate((row["n"] for row in sizes), initial=first)
-    offsets = df.sparkSession.createDataFrame(
-        [(row["_part"], start) for row, start in zip(sizes, starts)], "_part int, _start bigint"
-    )
     return (
-        ranged.join(F.broadcast(offsets), "_part")
+        ranged.join(_starts(ranged, F.count(F.lit(1)), first), "_part")
         .withColumn(name, F.col("_start") + F.col("_pos"))
         .drop("_part", "_pos", "_start")
     )
@@ -76,15 +76,10 @@ def running_max(df: DataFrame, key: str, order: list[Column], value: str, name:
 def running_total(df: DataFrame, order: list[Column], value: str, name: str) -> DataFrame:
     """Running sum over the whole table in a unique order, without a one-task window."""
     ranged = in_ranges(df, *order)
-    sums = sorted(ranged.groupBy("_part").agg(F.sum(value).alias("n")).collect())
-    starts = accumulate((row["n"] for row in sums), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        [(row["_part"], start) for row, start in zip(sums, starts)], "_part int, _start bigint"
-    )
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     return (
         ranged.withColumn("_inside", F.sum(value).over(inside))
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .join(_starts(ranged, F.coalesce(F.sum(value), F.lit(0)), 0), "_part")
+        .withColumn(name, F.col("_start") + F.coalesce("_inside", F.lit(0)))
         .drop("_part", "_pos", "_start", "_inside")
     )

@@ -155,6 +155,29 @@ def test_late_rows_land_on_their_own_day(spark, tmp_path):
     ]
 
 
+def test_windows_go_out_as_messages(spark, tmp_path):
+    topic, out = tmp_path / "topic", f"{tmp_path}/out"
+    publish(spark, topic, [[reading("a", 10), reading("a", 20, 21.0)], [reading("a", 1000)]])
+    messages = W.window_messages(S.closed_windows(readings(spark, topic)), "Z")
+    I.drained(I.append_stream(messages, out, f"{tmp_path}/cp", once=True))
+    (row,) = spark.read.parquet(out).collect()
+    assert json.loads(bytes(row["value"])) == {
+        "device_id": "a", "window_start": "2026-01-01T00:00:00Z", "window_end": "2026-01-01T00:01:00Z",
+        "avg_temperature": 20.5, "avg_humidity": 40.0, "reading_count": 2, "error_count": 0,
+    }
+
+
+def test_encoded_rows_come_back(spark, tmp_path):
+    from stocktide.sources.messages import encode_events
+
+    rows_in = spark.createDataFrame([("7", "20.5", 40, "OK"), ("8", "warm", 40, "OK")], "device_id string, temperature string, humidity int, status string")
+    encode_events(rows_in, F.lit("2026-01-01T00:00:00+00:00")).write.parquet(str(tmp_path / "topic"))
+    kept = V.valid(V.tag_telemetry(R.read_messages(spark, str(tmp_path / "topic"))))
+    I.drained(I.append_stream(kept, f"{tmp_path}/out", f"{tmp_path}/cp", once=True))
+    got = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    assert got == [("7", 20.5, 40.0, "OK", "2026-01-01T00:00:00+00:00")]
+
+
 def test_text_messages(spark, tmp_path):
     os.makedirs(tmp_path / "lines")
     (tmp_path / "lines" / "one.json").write_text(json.dumps(reading("a", 1)) + "\n" + "broken\n")

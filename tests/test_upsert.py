@@ -79,6 +79,16 @@ def test_stock_counts_once_or_per_day(spark):
     assert rows(U.product_performance(sales, stock, stock_once=True)) == [("p", 6, 6.0, 10)]
 
 
+def test_native_merge_is_well_formed(spark):
+    """Parquet tables refuse row-level changes, but only after the statement was understood."""
+    spark.sql("CREATE TABLE IF NOT EXISTS native_target (k string, v int) USING parquet")
+    table(spark, [("a", 1, 1)]).createOrReplaceTempView("native_source")
+    with pytest.raises(Exception, match="UNSUPPORTED|not supported") as caught:
+        D.merge_sql(spark, "native_target", "native_source", ["k"], {"v": "v"}, {"k": "k", "v": "v"})
+    assert "PARSE" not in str(caught.value)
+    spark.sql("DROP TABLE native_target")
+
+
 def test_merge_keeps_a_hot_target_key_out_of_full_joins(spark):
     plan = D.merge(table(spark, [("a", 1, 1)]), table(spark, [("a", 1, 1)]), ["k"], FIELDS)
     assert "FullOuter" not in plan._jdf.queryExecution().optimizedPlan().toString()
