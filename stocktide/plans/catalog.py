@@ -54,6 +54,15 @@ def _local(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
 
+def _in_utc(column: str):
+    """An instant as UTC time without zone, whatever the session's time zone is."""
+    return F.convert_timezone(None, F.lit("UTC"), F.col(column))
+
+
+def _utc(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: _in_utc(c) for c in columns})
+
+
 def _dated(spark: SparkSession, d: str) -> DataFrame:
     return O.with_day(S.telemetry(spark, d))
 
@@ -708,7 +717,7 @@ def _readings(spark, d) -> DataFrame:
 @query
 def readings(spark, d):
     rows = V.valid(V.tag_readings(S.telemetry_messages(spark, d)))
-    return _local(rows, "ts")
+    return _utc(rows, "ts")
 
 
 @query
@@ -756,7 +765,7 @@ def stream_closed_windows(spark, d):
     path = scratch_path(spark, "windows")
     closed = state.closed_windows(_readings(spark, d), "1 hour")
     ingest.drained(ingest.append_stream(closed, path, f"{path}-checkpoint", once=True))
-    return _local(spark.read.parquet(path), "window_start", "window_end")
+    return _utc(spark.read.parquet(path), "window_start", "window_end")
 
 
 @query
@@ -764,7 +773,7 @@ def stream_window_updates(spark, d):
     """The last value of every window in update mode, open ones included."""
     path = scratch_path(spark, "updates")
     ingest.drained(state.window_updates(_readings(spark, d), path, f"{path}-checkpoint", "1 hour", once=True))
-    return _local(state.newest_updates(spark, path), "window_start", "window_end")
+    return _utc(state.newest_updates(spark, path), "window_start", "window_end")
 
 
 @query
@@ -775,7 +784,7 @@ def stream_sessions(spark, d):
     ingest.drained(
         ingest.append_stream(W.sessions_streaming(timed, "30 minutes"), path, f"{path}-checkpoint", once=True)
     )
-    return _local(spark.read.parquet(path), "window_start", "window_end")
+    return _utc(spark.read.parquet(path), "window_start", "window_end")
 
 
 @query
@@ -805,7 +814,8 @@ def stream_current_inventory(spark, d):
 def stream_by_day(spark, d):
     """Readings landed in the folder of the day they were taken on."""
     path = scratch_path(spark, "days")
-    ingest.drained(ingest.land_by_day(_readings(spark, d), path, f"{path}-checkpoint", once=True))
+    day = _in_utc("ts").cast("date")
+    ingest.drained(ingest.land_by_day(_readings(spark, d), path, f"{path}-checkpoint", day, once=True))
     landed = spark.read.parquet(path)
     return landed.groupBy(F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -96,6 +96,8 @@ def drained(queries: dict[str, StreamingQuery] | StreamingQuery) -> None:
         query.awaitTermination()
 
 
-def land_by_day(df: DataFrame, path: str, checkpoint: str, ts: str = "ts", once: bool = False) -> StreamingQuery:
-    """Late rows go to the day they happened on, not to the day they arrived on."""
-    return append_stream(df.withColumn("date", F.to_date(ts)), path, checkpoint, ["date"], once=once)
+def land_by_day(df: DataFrame, path: str, checkpoint: str, day: Column | None = None, once: bool = False) -> StreamingQuery:
+    """Late rows go to the day they happened on (by default the day of ``ts`` in the session's
+    time zone), not to the day they arrived on."""
+    day = F.to_date("ts") if day is None else day
+    return append_stream(df.withColumn("date", day), path, checkpoint, ["date"], once=once)
