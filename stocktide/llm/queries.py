@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stocktide.llm import exact, mixing, packing, quality, simhash
+from stocktide.llm import exact, licenses, mixing, packing, pii, quality, shards, simhash, substrings, topk
 from stocktide.llm.text import read_table
 
 
@@ -15,16 +15,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return read_table(spark, sf_dir, "documents")
 
     return {
+        "op1_skip_chain_pii": lambda s, d: pii.query(docs(s, d)),
+        "op2_label_propagation_shards": lambda s, d: shards.query(docs(s, d)),
+        "op3_maxscore_top_k": lambda s, d: topk.query(read_table(s, d, "embeddings")),
         "op4_compression_quality": lambda s, d: quality.query(docs(s, d), read_table(s, d, "labels")),
+        "op5_suffix_automaton_dedup": lambda s, d: substrings.query(docs(s, d)),
         "op6_source_mix": lambda s, d: mixing.query(docs(s, d)),
         "op7_golay_simhash": lambda s, d: simhash.query(docs(s, d)),
         "op8_genetic_packing": lambda s, d: packing.query(docs(s, d)),
         "op9_stream_dedup": lambda s, d: exact.query(docs(s, d)),
+        "op10_license_scan": lambda s, d: licenses.query(docs(s, d)),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_stream_dedup": STREAM_DEDUP}
+    return {"op3_maxscore_top_k": TOP_K, "op9_stream_dedup": STREAM_DEDUP}
 
 
 #: A-Z only, as DuckDB's lower() also changes other letters.
@@ -37,3 +42,16 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
 FROM plain WINDOW same AS (PARTITION BY body)
 """
+
+TOP_K = """
+WITH parts AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, p.vec_id, CAST(list_inner_product(q.v, p.v) AS BIGINT) AS score
+    FROM parts q JOIN parts p ON q.vec_id <> p.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+"""
