@@ -6,7 +6,8 @@ tokens once at no cost, a second and a third time at rising cost, and every sour
 takes up to its target. Patterns and sources are all that reaches the driver. Then
 seeded documents are selected: a pattern's documents lie on a line in hash order, the
 flow takes whole passes over it and a prefix of the next one, and a few rounds fill the
-rest of the last pass with documents that still fit.
+rest of the last pass with documents that still fit, at last one at a time; no document
+is taken more than ``MOST_COPIES`` times.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ MOST_COPIES = 3
 COPY_COSTS = (0, 1, 3)  # cost of a token's first, second and third copy
 SEED = 17
 BUCKETS = 4096
-FILL_ROUNDS = 4
+FILL_ROUNDS = 2
+REPEAT_ROUNDS = 2
+LAST_PICKS = 3
 
 
 def ordered_sources(names: list[str | None]) -> list[str | None]:
@@ -163,20 +166,28 @@ def mix(items: DataFrame, weights: tuple = WEIGHTS, seed: int = SEED) -> tuple[D
     rows = staged(line(rows, "pattern", "size", order), "mix-line")
     taken = rows.filter("rest > 0 and size > 0 and _start + size <= rest").select("uid", "pattern", "size")
     taken = staged(taken, "mix-taken")
-    for _ in range(FILL_ROUNDS):
+    for number in range(FILL_ROUNDS + REPEAT_ROUNDS + LAST_PICKS):
         used = taken.groupBy("pattern").agg(F.sum("size").alias("used"))
         gaps = plans.select("pattern", "rest").join(used, "pattern", "left").select(
             "pattern", (F.col("rest") - F.coalesce("used", F.lit(0))).alias("gap")
         )
+        again = taken.groupBy("uid").agg(F.count(F.lit(1)).alias("_again"))
+        # documents not taken in this pass come first; where only too large ones are left, others are repeated
+        most = 1 if number < FILL_ROUNDS else MOST_COPIES
         fitting = (
-            rows.drop("_start").join(gaps, "pattern").filter("size > 0 and size <= gap")
-            .join(taken.select("uid"), "uid", "left_anti")
+            rows.drop("_start").join(gaps, "pattern").filter("size > 0 and size <= gap").join(again, "uid", "left")
+            .withColumn("_again", F.coalesce("_again", F.lit(0))).filter((F.col("_again") < most) & (F.col("passes") + F.col("_again") < MOST_COPIES))
         )
-        more = line(fitting, "pattern", "size", order).filter("_start + size <= gap").select("uid", "pattern", "size")
+        if number < FILL_ROUNDS + REPEAT_ROUNDS:
+            more = line(fitting, "pattern", "size", order).filter("_start + size <= gap").select("uid", "pattern", "size")
+        else:  # the largest one that fits
+            largest = fitting.groupBy("pattern").agg(F.max(F.struct("size", *order)).alias("largest"))
+            more = largest.select("largest.uid", "pattern", "largest.size")
         taken = staged(taken.unionByName(more), "mix-taken")
-    extra = taken.select("uid", F.lit(1).alias("_extra"))
+    extra = taken.groupBy("uid").agg(F.count(F.lit(1)).alias("_extra"))
+    chosen = rows.join(extra, "uid", "left")
     copies = (F.col("passes") + F.coalesce("_extra", F.lit(0))).cast("bigint")
-    chosen = rows.join(extra, "uid", "left").withColumn("copies", copies).join(plans.select("pattern", "bounds"), "pattern")
+    chosen = chosen.withColumn("copies", copies).join(plans.select("pattern", "bounds"), "pattern")
 
     def source_of(k: Column) -> Column:
         at = k * F.col("whole") + F.col("_start")

@@ -183,7 +183,7 @@ def fit(graph: Graph) -> Model:
     weights = np.zeros((x.shape[1], LABELS))
     if not len(y):
         weights[0, 0] = 10.0
-    ahead, rate = weights.copy(), 1.0 / (0.25 * max(1.0, float((x**2).sum(axis=1).mean())))
+    ahead, rate = weights.copy(), 1.0 / (0.25 * max(1.0, float((x**2).sum()) / max(1, len(x))))
     for step in range(FIT_STEPS if len(y) else 0):
         z = x @ ahead
         p = np.exp(z - z.max(axis=1, keepdims=True))
