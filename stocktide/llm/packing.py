@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import struct
 import zlib
 from functools import lru_cache
 
@@ -36,9 +37,11 @@ POPULATION = 4
 GENERATIONS = 5
 WELL_FILLED = 0.98  # bins below are packed again in the next round
 MOST_ROUNDS = 12
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 
 _BLANK = re.compile("[ \n]+")
+_MARKS = ".,!?;:%&$*#|"
+_PLAIN = "\u0100"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -49,31 +52,66 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
+    """The tokenizer, the ids that end a piece, and ids of words and of their parts as they become known."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True
-    return made, {}
+    ends = frozenset(i for token, i in made.get_vocab().items() if token.endswith("</w>"))
+    return made, ends, {}, {"": b""}
+
+
+def _packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _parts(word: str) -> tuple[str, str]:
+    """Letters in lower case and the punctuation after them, which are pieces of their own for the tokenizer;
+    only for letters whose lower case needs no context. Other words stay whole."""
+    core = word.rstrip(_MARKS)
+    if core and core.isalpha() and max(core) < _PLAIN:
+        return core.lower(), word[len(core) :]
+    return "", word
+
+
+def _learn(tokenizer, ends: frozenset, parts: dict, missing: set[str]) -> None:
+    """Ids of ``missing`` parts. Parts of letters only are one piece each, so many are encoded as one text
+    and told apart by the ids that end a piece."""
+    letters = sorted(p for p in missing if p.isalpha() and max(p) < _PLAIN)
+    others = sorted(missing.difference(letters))
+    texts_ = [letters[at : at + 512] for at in range(0, len(letters), 512)]
+    for own, found in zip(texts_, tokenizer.encode_batch_fast([" ".join(t) for t in texts_], add_special_tokens=False)):
+        ids = found.ids
+        cuts = [at for at, i in enumerate(ids, start=1) if i in ends]
+        if len(cuts) != len(own):
+            others += own
+            continue
+        for part, start, end in zip(own, [0, *cuts], cuts):
+            parts[part] = _packed_ids(ids[start:end])
+    for part, found in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+        parts[part] = _packed_ids(found.ids)
 
 
 def encode(many: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers. The tokenizer drops white space and no
     token spans it, so words are encoded once and remembered, up to a bound."""
-    tokenizer, known = _tokenizer(path)
-    made = []
-    for text in many:
-        words = _BLANK.split(text)
-        missing = list({w for w in words if w not in known})
-        if len(known) + len(missing) > CACHED_WORDS:
-            known.clear()
-            missing = list(set(words))
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for word, found in zip(part, tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        made.append(b"".join(map(known.__getitem__, words)))
-    return made
+    tokenizer, ends, known, parts = _tokenizer(path)
+    split = [_BLANK.split(text) for text in many]
+    missing = {w for words in split for w in words if w not in known}
+    if len(known) + len(missing) > CACHED_WORDS:
+        known.clear()
+        missing = {w for words in split for w in words}
+    cut = {w: _parts(w) for w in missing}
+    unknown = {p for both in cut.values() for p in both if p not in parts}
+    if len(parts) + len(unknown) > CACHED_WORDS:
+        parts.clear()
+        parts[""] = b""
+        unknown = {p for both in cut.values() for p in both if p}
+    _learn(tokenizer, ends, parts, unknown)
+    for word, (core, rest) in cut.items():
+        known[word] = parts[core] + parts[rest] if core and rest else parts[core or rest]
+    return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
