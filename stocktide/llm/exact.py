@@ -21,7 +21,11 @@ from stocktide.llm.text import narrow, over_batches, rows_back, text_key, texts
 from stocktide.session import scratch_path
 
 BATCH_BYTES = 16 << 30  # arrivals taken into one micro-batch
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # else every partition's store sets megabytes of empty log aside
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 ARRIVAL = "uid bigint, doc_id bigint, text_key bigint, digest binary, digest_size int"
 
 
@@ -35,13 +39,15 @@ def sha256(text: bytes) -> bytes:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def arrivals(docs: DataFrame, digest=sha256) -> tuple[DataFrame, str]:
@@ -79,7 +85,7 @@ def stream_state(spark: SparkSession, path: str, batch_bytes: int = BATCH_BYTES)
     def keep(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-    with _setting(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE):
+    with _settings(spark, STREAM_SETTINGS):
         query = (
             state.writeStream.outputMode("update").foreachBatch(keep)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
