@@ -33,8 +33,9 @@ def line_total(quantity: Column, price: Column) -> Column:
 
 
 def mean(value: Column, kind: str = READING) -> Column:
-    """Exact sum divided by the number of non-null values, as double."""
-    return F.sum(value.cast(kind)).cast("double") / F.count(value)
+    """Exact sum divided by the number of values it has, as double. NaN is no decimal: it is
+    left out of both."""
+    return F.sum(value.cast(kind)).cast("double") / F.count(value.cast(kind))
 
 
 def mean_2dp(value: Column, kind: str = READING) -> Column:

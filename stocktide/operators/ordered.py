@@ -48,11 +48,6 @@ def numbered(df: DataFrame, order: list[Column], name: str = "id", first: int =
     )
 
 
-def numbered_by_window(df: DataFrame, order: list[Column], name: str = "id", first: int = C.FIRST_NUMBERED_ID) -> DataFrame:
-    """The plain window form, for a handful of rows only: everything goes through one task."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint") + F.lit(first - 1))
-
-
 def running_max(df: DataFrame, key: str, order: list[Column], value: str, name: str) -> DataFrame:
     """Greatest value of all earlier rows of the same key; ``order`` has to be unique. A row
     without a key has no earlier rows.

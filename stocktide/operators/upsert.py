@@ -8,6 +8,9 @@ do for a full outer join.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +23,25 @@ def single_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     Grouping with partial counts finds the repeats without gathering them in one task.
     """
     rest = [c for c in source.columns if c not in keys]
-    key_is_null = F.lit(False)
-    for key in keys:
-        key_is_null = key_is_null | F.col(key).isNull()
     grouped = source.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(F.lit(1).alias("_one"), *rest)).alias("_row")
     )
     checked = grouped.where(
         F.when(F.col("_n") > 1, F.raise_error(F.lit("a merge key occurs twice in the source")).cast("boolean"))
-        .when(key_is_null, F.raise_error(F.lit("a merge key is null in the source")).cast("boolean"))
         .otherwise(F.lit(True))
     )
+    checked = without_null_keys(checked, keys)
     return checked.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in source.columns])
 
 
+def without_null_keys(source: DataFrame, keys: list[str]) -> DataFrame:
+    """The source, failing at run time when a key is null: such a row would be inserted anew by every run."""
+    key_is_null = reduce(or_, (F.col(key).isNull() for key in keys))
+    return source.where(
+        F.when(key_is_null, F.raise_error(F.lit("a merge key is null in the source")).cast("boolean")).otherwise(F.lit(True))
+    )
+
+
 def _matches(target: DataFrame, source: DataFrame, keys: list[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -47,12 +55,12 @@ def _prefixed(source: DataFrame) -> DataFrame:
 
 def not_matched(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows without a target row (the insert branch)."""
-    return source.join(target.select(*keys).distinct(), keys, "left_anti")
+    return source.join(target.select(*keys), keys, "left_anti")
 
 
 def matched(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows with a target row (the update branch)."""
-    return source.join(target.select(*keys).distinct(), keys, "left_semi")
+    return source.join(target.select(*keys), keys, "left_semi")
 
 
 def merge(
@@ -70,8 +78,7 @@ def merge(
     (target, source) pair of columns; a match is then applied only if the source value is
     greater, so a late source row cannot overwrite a newer state.
     """
-    if not source_is_unique:
-        source = single_row_per_key(source, keys)
+    source = without_null_keys(source, keys) if source_is_unique else single_row_per_key(source, keys)
     insert = insert if insert is not None else {**{k: k for k in keys}, **update}
     side = _prefixed(source)
     joined = target.join(side, _matches(target, side, keys), "left")

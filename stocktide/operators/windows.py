@@ -49,7 +49,7 @@ def sessions(df: DataFrame, gap_seconds: int, key: str = "device_id", ts: str =
         F.min(micros).alias("_first"),
         F.max(micros).alias("_last"),
         F.count(F.lit(1)).alias("_n"),
-        F.count("temperature").alias("_readings"),
+        F.count(F.col("temperature").cast(READING)).alias("_readings"),
         F.sum(F.col("temperature").cast(READING)).alias("_sum"),
     )
     in_time = Window.partitionBy(key).orderBy("_span")

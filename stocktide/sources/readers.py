@@ -86,9 +86,13 @@ def read_broker(spark: SparkSession, servers: str, topic: str, **options: str) -
         .options(**options)
         .load()
     )
-    headers: Column = F.transform(
-        "headers", lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))
-    )
-    return records.select(
-        "value", F.map_from_entries(headers).alias("attributes"), F.col("timestamp").alias("publish_time")
+    return records.select("value", last_of_each(F.col("headers")).alias("attributes"), F.col("timestamp").alias("publish_time"))
+
+
+def last_of_each(headers: Column) -> Column:
+    """Headers (key, value) as a map; of a repeated name the last value counts."""
+    names = F.array_distinct(F.transform(headers, lambda h: h["key"]))
+    values = F.transform(
+        names, lambda name: F.element_at(F.filter(headers, lambda h: h["key"] == name), -1)["value"].cast("string")
     )
+    return F.map_from_arrays(names, values)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Bring equal keys together for writing, but split what is too big for one task.
@@ -17,13 +15,8 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     return df.hint("rebalance", *keys) if keys else df.hint("rebalance")
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with header, replacing the folder. A single file means a single task, so it is
-    refused for anything larger than a report."""
-    if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError("too many rows for a single CSV file; write many files instead")
-        df = df.repartition(1)
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with header, replacing the folder; as many files as there are tasks."""
     df.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -92,3 +92,18 @@ def test_encode_skips_bad_rows(spark):
 def test_encode_untyped_rows(spark):
     df = spark.createDataFrame([("1", "20.5")], "device_id string, temperature string")
     assert bytes(M.encode_rows(df).first()["value"]).decode() == '{"device_id":"1","temperature":"20.5"}'
+
+
+def test_mean_leaves_nan_out_of_both_parts(spark):
+    from stocktide.functions import numeric
+
+    rows = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (4.0,)], "value double")
+    assert rows.select(numeric.mean(F.col("value"))).first()[0] == 2.5
+
+
+def test_last_header_of_a_name_counts(spark):
+    from stocktide.sources import readers
+
+    rows = spark.createDataFrame([([("a", b"1"), ("b", b"2"), ("a", b"3")],), ([],)], "headers array<struct<key:string,value:binary>>")
+    got = [r[0] for r in rows.select(readers.last_of_each(F.col("headers"))).collect()]
+    assert got == [{"a": "3", "b": "2"}, {}]

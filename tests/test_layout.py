@@ -156,8 +156,7 @@ def test_tables_and_inserts(spark):
 def test_csv(spark, tmp_path):
     folder = f"file://{tmp_path}/csv"
     rows = spark.createDataFrame([(3, 20.5, 40.0, "OK"), (4, 21.5, None, "ERROR")], R.SENSOR_SCHEMA)
-    O.write_csv(rows, folder, single_file=True)
-    assert len([f for f in (tmp_path / "csv").iterdir() if f.suffix == ".csv"]) == 1
+    O.write_csv(rows, folder)
     assert same(R.read_csv(spark, folder, R.SENSOR_SCHEMA), rows)
     assert dict(R.read_csv(spark, folder).dtypes) == {
         "device_id": "int", "temperature": "double", "humidity": "double", "status": "string",
@@ -167,11 +166,6 @@ def test_csv(spark, tmp_path):
     O.drop_table(spark, "external_readings")
 
 
-def test_single_file_is_refused_for_large_results(spark, tmp_path):
-    with pytest.raises(ValueError, match="single CSV"):
-        O.write_csv(spark.range(O.SINGLE_FILE_ROWS + 1), f"file://{tmp_path}/x", single_file=True)
-
-
 def test_write_modes(spark, tmp_path):
     path = f"file://{tmp_path}/m"
     for mode, rows in (("overwrite", 10), ("append", 20), ("overwrite", 10)):

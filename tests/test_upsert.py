@@ -92,3 +92,15 @@ def test_native_merge_is_well_formed(spark):
 def test_merge_keeps_a_hot_target_key_out_of_full_joins(spark):
     plan = D.merge(table(spark, [("a", 1, 1)]), table(spark, [("a", 1, 1)]), ["k"], FIELDS)
     assert "FullOuter" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_inventory_merge_fails_on_a_null_key(spark):
+    from pyspark.errors import PySparkException
+
+    from stocktide.operators.curation import merge_inventory
+
+    schema = "store_id string, product_id string, quantity_on_hand int, last_updated string, supplier_id string"
+    target = spark.createDataFrame([("1", "2", 3, "2026-01-01T00:00:00Z", "s")], schema)
+    update = spark.createDataFrame([(None, "2", 5, "2026-01-02T00:00:00Z", "s")], schema.replace("last_updated", "event_time"))
+    with pytest.raises(PySparkException, match="null"):
+        merge_inventory(target, update).collect()
