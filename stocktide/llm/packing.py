@@ -13,14 +13,14 @@ from __future__ import annotations
 
 import os
 import random
-import re
-import struct
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +37,12 @@ POPULATION = 4
 GENERATIONS = 5
 WELL_FILLED = 0.98  # bins below are packed again in the next round
 MOST_ROUNDS = 12
-CACHED_WORDS = 400_000
+CACHED_PARTS = 400_000
+SLICE_BYTES = 4 << 20  # text encoded at once
+TOGETHER = 512  # parts of letters encoded as one text
 
-_BLANK = re.compile("[ \n]+")
-_MARKS = ".,!?;:%&$*#|"
-_PLAIN = "\u0100"
+# letters that have a lower case without context, then punctuation: pieces of their own for the tokenizer
+_PARTS = r"^(?P<letters>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+)(?P<marks>[.,!?;:%&$*#|]*)$"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -52,66 +53,81 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
-    """The tokenizer, the ids that end a piece, and ids of words and of their parts as they become known."""
+    """The tokenizer, which ids end a piece, and the ids of parts of words as they become known."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
     made.encode_special_tokens = True
-    ends = frozenset(i for token, i in made.get_vocab().items() if token.endswith("</w>"))
-    return made, ends, {}, {"": b""}
+    ends = np.zeros(max(made.get_vocab().values()) + 1, bool)
+    ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
+    return made, ends, {"": b""}
 
 
-def _packed_ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
-def _parts(word: str) -> tuple[str, str]:
-    """Letters in lower case and the punctuation after them, which are pieces of their own for the tokenizer;
-    only for letters whose lower case needs no context. Other words stay whole."""
-    core = word.rstrip(_MARKS)
-    if core and core.isalpha() and max(core) < _PLAIN:
-        return core.lower(), word[len(core) :]
-    return "", word
-
-
-def _learn(tokenizer, ends: frozenset, parts: dict, missing: set[str]) -> None:
-    """Ids of ``missing`` parts. Parts of letters only are one piece each, so many are encoded as one text
+def _learn(tokenizer, ends: np.ndarray, known: dict[str, bytes], letters: list[str], others: list[str]) -> None:
+    """Ids of parts not known yet. Parts of letters only are one piece each, so many are encoded as one text
     and told apart by the ids that end a piece."""
-    letters = sorted(p for p in missing if p.isalpha() and max(p) < _PLAIN)
-    others = sorted(missing.difference(letters))
-    texts_ = [letters[at : at + 512] for at in range(0, len(letters), 512)]
-    for own, found in zip(texts_, tokenizer.encode_batch_fast([" ".join(t) for t in texts_], add_special_tokens=False)):
-        ids = found.ids
-        cuts = [at for at, i in enumerate(ids, start=1) if i in ends]
+    together = [letters[at : at + TOGETHER] for at in range(0, len(letters), TOGETHER)]
+    for own, found in zip(together, tokenizer.encode_batch_fast([" ".join(t) for t in together], add_special_tokens=False)):
+        ids = np.array(found.ids, "<u4")
+        cuts = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
         if len(cuts) != len(own):
-            others += own
+            others = others + own
             continue
-        for part, start, end in zip(own, [0, *cuts], cuts):
-            parts[part] = _packed_ids(ids[start:end])
+        packed_ids = ids.tobytes()
+        known.update((part, packed_ids[start:end]) for part, start, end in zip(own, [0, *cuts], cuts))
     for part, found in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-        parts[part] = _packed_ids(found.ids)
-
-
-def encode(many: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers. The tokenizer drops white space and no
-    token spans it, so words are encoded once and remembered, up to a bound."""
-    tokenizer, ends, known, parts = _tokenizer(path)
-    split = [_BLANK.split(text) for text in many]
-    missing = {w for words in split for w in words if w not in known}
-    if len(known) + len(missing) > CACHED_WORDS:
+        known[part] = np.array(found.ids, "<u4").tobytes()
+
+
+def _gathered(values: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``picks`` of a table one after the other, and their sizes; row i holds ``sizes[i]`` of ``values``."""
+    starts = np.cumsum(sizes) - sizes
+    picked = sizes[picks]
+    before = np.cumsum(picked) - picked
+    return values[np.repeat(starts[picks] - before, picked) + np.arange(picked.sum())], picked
+
+
+def _encode_slice(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    tokenizer, ends, known = _tokenizer(path)
+    split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+    words = split.flatten().dictionary_encode()
+    found = pc.extract_regex(words.dictionary, _PARTS)
+    plain = found.is_valid()
+    letters = pc.utf8_lower(found.field("letters").filter(plain)).dictionary_encode()
+    marks = found.field("marks").filter(plain).dictionary_encode()
+    whole = words.dictionary.filter(pc.invert(plain))
+    own, rest = letters.dictionary.to_pylist(), marks.dictionary.to_pylist() + whole.to_pylist() + [""]
+    if len(known) + len(own) + len(rest) > CACHED_PARTS:
+        # what this slice has in common with earlier ones stays
+        kept = {p: known[p] for p in own + rest if p in known}
         known.clear()
-        missing = {w for words in split for w in words}
-    cut = {w: _parts(w) for w in missing}
-    unknown = {p for both in cut.values() for p in both if p not in parts}
-    if len(parts) + len(unknown) > CACHED_WORDS:
-        parts.clear()
-        parts[""] = b""
-        unknown = {p for both in cut.values() for p in both if p}
-    _learn(tokenizer, ends, parts, unknown)
-    for word, (core, rest) in cut.items():
-        known[word] = parts[core] + parts[rest] if core and rest else parts[core or rest]
-    return [b"".join(map(known.__getitem__, words)) for words in split]
+        known.update(kept)
+    _learn(tokenizer, ends, known, [p for p in own if p not in known], [p for p in rest if p not in known])
+    table = [known[p] for p in own + rest]
+    # a word is its letters and its marks, or itself and nothing
+    is_plain, nothing = plain.to_numpy(zero_copy_only=False), len(table) - 1
+    halves = np.full((len(words.dictionary), 2), nothing)
+    halves[is_plain, 0] = letters.indices.to_numpy()
+    halves[is_plain, 1] = marks.indices.to_numpy() + len(own)
+    halves[~is_plain, 0] = np.arange(len(whole)) + nothing - len(whole)
+    sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+    values, sizes = _gathered(np.frombuffer(b"".join(table), "<u4"), sizes, halves.ravel())
+    ids, sizes = _gathered(values, sizes.reshape(-1, 2).sum(1), words.indices.to_numpy())
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    return ids, total[split.offsets.to_numpy() - split.offsets[0].as_py()]
+
+
+def encode(column: pa.Array, path: str) -> Iterator[bytes]:
+    """Ids of each text as little-endian 32-bit numbers. The tokenizer drops white space and no token spans
+    it, so every different word of a slice of texts is looked up once, and its parts are remembered, up to a bound."""
+    lengths = np.cumsum(pc.binary_length(column).to_numpy()) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), len(column)]
+    for start, end in zip(cuts, cuts[1:]):
+        # a copy of its own: kernels then see no offset into the batch
+        ids, bounds = _encode_slice(pa.concat_arrays([column.slice(start, end - start)]), path)
+        for first, last in zip(bounds.tolist(), bounds[1:].tolist()):
+            yield ids[first:last].tobytes()
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -122,7 +138,7 @@ def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, w
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = {n: [] for n in ("doc_id", "uid", "piece", "start", "length", "ids_crc32", "ids")}
         keys = zip(batch.column("doc_id").to_pylist(), batch.column("uid").to_pylist())
-        for (doc, uid), ids in zip(keys, encode(batch.column("text").to_pylist(), path)):
+        for (doc, uid), ids in zip(keys, encode(batch.column("text"), path)):
             ids += end
             for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
