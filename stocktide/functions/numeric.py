@@ -1,8 +1,12 @@
-"""Exact sums and means.
+"""Sums and means.
 
-Adding doubles gives a result that depends on how rows were split over tasks.
-Amounts and readings are therefore summed as decimals, which is exact and gives the
-same answer for every partitioning; results are handed out as doubles.
+The type of a column decides: decimals are summed as decimals, which is exact, doubles as
+doubles, which keeps every magnitude and never fails on a single large value. The last
+digits of a sum of doubles depend on how rows were split over tasks; a report rounds its
+final result with ``settled``.
+
+NaN is no reading: it is left out of sums, means and counts of readings alike. Infinity is
+a number like any other.
 """
 
 from __future__ import annotations
@@ -10,39 +14,44 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-READING = "decimal(18,6)"
+GUARD_PLACES = 12  # what lies behind is noise of binary sums
 
 
-def money(amount: Column) -> Column:
-    return amount.cast(MONEY)
+def given(value: Column) -> Column:
+    """The value, null where it is NaN."""
+    return F.when(~F.isnan(value), value)
 
 
-def reading(value: Column) -> Column:
-    return value.cast(READING)
+def finite(value: Column) -> Column:
+    """The value, null where it is NaN or infinite."""
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
 
 
-def total(amount: Column, kind: str = MONEY) -> Column:
-    """Exact sum as double."""
-    return F.sum(amount.cast(kind)).cast("double")
+def total(amount: Column) -> Column:
+    """Sum as double."""
+    return F.sum(given(amount)).cast("double")
 
 
 def line_total(quantity: Column, price: Column) -> Column:
-    """Exact sum of quantity times price as double."""
-    return F.sum(quantity.cast("decimal(10,0)") * money(price)).cast("double")
+    """Sum of quantity times price as double."""
+    return total(quantity * price)
 
 
-def mean(value: Column, kind: str = READING) -> Column:
-    """Exact sum divided by the number of values it has, as double. NaN is no decimal: it is
-    left out of both."""
-    return F.sum(value.cast(kind)).cast("double") / F.count(value.cast(kind))
+def mean(value: Column) -> Column:
+    """Sum divided by the number of values it has, as double; null without any."""
+    return total(value) / F.count(given(value))
 
 
-def mean_2dp(value: Column, kind: str = READING) -> Column:
-    """Mean rounded half up to two places, computed in decimal."""
-    return F.round(F.avg(value.cast(kind)), 2).cast("double")
+def settled(value: Column, places: int = 6) -> Column:
+    """A final result in ``places`` decimals, half up in decimal (a binary 2.675 is read as the
+    2.675 it was written as)."""
+    return F.round(F.round(value.cast("double"), GUARD_PLACES), places)
 
 
 def round_2dp(value: Column) -> Column:
-    """Decimal half-up rounding (a binary 2.675 is read as the 2.675 it was written as)."""
-    return F.round(value.cast(READING), 2).cast("double")
+    return settled(value, 2)
+
+
+def mean_2dp(value: Column) -> Column:
+    """Mean rounded half up to two places."""
+    return round_2dp(mean(value))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide import contracts as C
+from stocktide.functions.numeric import round_2dp
 
 
 def above_with_default(df: DataFrame, column: str, limit: float = C.HIGH_TEMPERATURE, default: float = 0.0) -> DataFrame:
@@ -44,4 +45,4 @@ def top(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 def formatted(df: DataFrame, key: str, value: Column, name: str = "line", pattern: str = C.DEVICE_REPORT) -> DataFrame:
     """One text line per row; the value is rounded in decimal before printing."""
-    return df.select(F.format_string(pattern, F.col(key).cast("string"), value.cast("decimal(18,2)").cast("double")).alias(name))
+    return df.select(F.format_string(pattern, F.col(key).cast("string"), round_2dp(value)).alias(name))

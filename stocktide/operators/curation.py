@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.functions.numeric import MONEY
 from stocktide.functions.times import event_time
 from stocktide.operators.latest import latest_per_key
 from stocktide.operators.upsert import merge
@@ -67,7 +66,7 @@ def product_performance(sales: DataFrame, inventory: DataFrame, stock_once: bool
     """
     per_store = sales.groupBy("product_id", "store_id").agg(
         F.sum("total_quantity").alias("_units"),
-        F.sum(F.col("total_revenue").cast(MONEY)).alias("_revenue"),
+        F.sum("total_revenue").alias("_revenue"),
         F.count(F.lit(1)).alias("_days"),
     )
     joined = sales_with_stock(per_store, inventory)

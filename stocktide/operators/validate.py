@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocktide import contracts as C
+from stocktide.functions.numeric import finite
 from stocktide.functions.payload import Field, is_object, with_fields
 
 MALFORMED = "MALFORMED"
@@ -127,17 +128,18 @@ SENSOR_NUMBERS = ("temperature", "humidity")
 
 def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) -> DataFrame:
     """Sensor messages: device and status are needed, only status OK is wanted, both
-    readings have to be numbers."""
+    readings have to be finite numbers."""
     device, status = Field("device_id"), Field("status")
     temperature, humidity = Field("temperature"), Field("humidity")
+    warmth, moisture = finite(temperature.as_double()), finite(humidity.as_double())
     stamp = Field("timestamp")
     when = stamp.as_text()
     if compat:
         when = F.coalesce(when, F.when(stamp.missing, F.lit("None")))
     columns = [
         device.as_text().alias("device_id"),
-        temperature.as_double().alias("temperature"),
-        humidity.as_double().alias("humidity"),
+        warmth.alias("temperature"),
+        moisture.alias("humidity"),
         status.as_text().alias("status"),
         when.alias("timestamp"),
     ]
@@ -146,27 +148,27 @@ def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) ->
         F.when(~is_object(), MALFORMED)
         .when(~device.truthy() | status.missing, MISSING)
         .when(~wanted, NOT_WANTED)
-        .when(temperature.as_double().isNull() | humidity.as_double().isNull(), UNUSABLE)
+        .when(warmth.isNull() | moisture.isNull(), UNUSABLE)
     )
     return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, columns, reason)
 
 
 def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
     """Sensor messages for windows: device and a readable time are needed; readings that
-    are missing stay null, readings that are not numbers reject the message."""
+    are missing stay null, readings that are not finite numbers
+    reject the message."""
     device, status, stamp = Field("device_id"), Field("status"), Field("timestamp")
     temperature, humidity = Field("temperature"), Field("humidity")
+    warmth, moisture = finite(temperature.as_double()), finite(humidity.as_double())
     ts = F.when(stamp.is_text, F.try_to_timestamp(stamp.text))
     columns = [
         device.as_text().alias("device_id"),
         ts.alias("ts"),
-        temperature.as_double().alias("temperature"),
-        humidity.as_double().alias("humidity"),
+        warmth.alias("temperature"),
+        moisture.alias("humidity"),
         status.as_text().alias("status"),
     ]
-    spoiled = (~temperature.absent & temperature.as_double().isNull()) | (
-        ~humidity.absent & humidity.as_double().isNull()
-    )
+    spoiled = (~temperature.absent & warmth.isNull()) | (~humidity.absent & moisture.isNull())
     reason = (
         F.when(~is_object(), MALFORMED)
         .when(~device.truthy() | ~stamp.truthy(), MISSING)

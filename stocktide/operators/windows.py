@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktide import contracts as C
-from stocktide.functions.numeric import READING, mean_2dp
+from stocktide.functions.numeric import given, mean, mean_2dp
 from stocktide.functions.times import iso_text
 
 
 def _statistics() -> list[Column]:
-    """Count and exact means per window."""
+    """Number of rows and mean reading per window."""
     return [
         F.count(F.lit(1)).alias("reading_count"),
-        (F.sum(F.col("temperature").cast(READING)).cast("double") / F.count("temperature")).alias("avg_temperature"),
+        mean(F.col("temperature")).alias("avg_temperature"),
     ]
 
 
@@ -49,8 +49,8 @@ def sessions(df: DataFrame, gap_seconds: int, key: str = "device_id", ts: str =
         F.min(micros).alias("_first"),
         F.max(micros).alias("_last"),
         F.count(F.lit(1)).alias("_n"),
-        F.count(F.col("temperature").cast(READING)).alias("_readings"),
-        F.sum(F.col("temperature").cast(READING)).alias("_sum"),
+        F.count(given(F.col("temperature"))).alias("_readings"),
+        F.sum(given(F.col("temperature"))).alias("_sum"),
     )
     in_time = Window.partitionBy(key).orderBy("_span")
     opened = F.coalesce(F.col("_first") - F.lag("_last").over(in_time) > gap, F.lit(True))

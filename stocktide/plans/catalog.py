@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktide import contracts as C
-from stocktide.functions.numeric import mean, reading
+from stocktide.functions.numeric import mean, settled
 from stocktide.functions.times import ago, event_time, iso_text, spread_day, written_day
 from stocktide.operators import aggregates as A
 from stocktide.operators import basics as B
@@ -38,6 +38,7 @@ _QUERIES: dict[str, Query] = {}
 
 KEYS = ["store_id", "product_id"]
 CUT = "1998-06-01"
+MEAN_PLACES, MONEY_PLACES = 6, 4
 
 
 def query(function: Query) -> Query:
@@ -67,6 +68,19 @@ def _dated(spark: SparkSession, d: str) -> DataFrame:
     return O.with_day(S.telemetry(spark, d))
 
 
+def _sales(spark: SparkSession, d: str) -> DataFrame:
+    return A.sales_daily(S.raw_orders(spark, d, customers=False))
+
+
+def _settled(df: DataFrame, *columns: str, places: int = MEAN_PLACES) -> DataFrame:
+    """Final results in stated places, so that they do not depend on the order of summing."""
+    return df.withColumns({c: settled(F.col(c), places) for c in columns})
+
+
+def _money(df: DataFrame, *columns: str) -> DataFrame:
+    return _settled(df, *columns, places=MONEY_PLACES)
+
+
 # -- sources and sinks -----------------------------------------------------------
 
 
@@ -100,7 +114,7 @@ def insert_append(spark, d):
         [("sensor_001", "2026-06-10", 25.5, 60.2, 1440), ("sensor_002", "2026-06-10", 27.1, 55.8, 1380)],
         "device_id string, date string, avg_temperature double, avg_humidity double, reading_count bigint",
     )
-    return O.appended(base, literal)
+    return _settled(O.appended(base, literal), "avg_temperature")
 
 
 @query
@@ -109,7 +123,7 @@ def table_append_mode(spark, d):
     daily = A.device_daily(S.telemetry(spark, d))
     O.write_table(daily, path, "overwrite")
     O.write_table(daily, path, "append")
-    return R.read_table(spark, path)
+    return _settled(R.read_table(spark, path), "avg_temperature", "avg_humidity")
 
 
 @query
@@ -117,11 +131,11 @@ def days_replaced(spark, d):
     """Daily sales in month folders, written twice: the second time only the months from 1998
     on, with zero revenue."""
     path = scratch_path(spark, "months")
-    sales = A.sales_daily(S.raw_orders(spark, d)).withColumn("month", F.substring("date", 1, 7))
+    sales = _sales(spark, d).withColumn("month", F.substring("date", 1, 7))
     O.replace_days(sales, path, ["month"])
     zeroed = sales.where(F.col("date") >= "1998-01-01").withColumn("total_revenue", F.lit(0.0))
     O.replace_days(zeroed, path, ["month"])
-    return spark.read.parquet(path).drop("month")
+    return _money(spark.read.parquet(path).drop("month"), "total_revenue")
 
 
 @query
@@ -168,6 +182,13 @@ def low_stock(spark, d):
     return U.latest_inventory(S.raw_inventory(spark, d), ["seq"]).where(F.col("quantity_on_hand") < 10)
 
 
+@query
+def low_stock_report(spark, d):
+    """What has to be ordered again, least stock first."""
+    low = _stock(spark, d).where(F.col("quantity_on_hand") < 10)
+    return low.select(*KEYS, "quantity_on_hand", "last_updated").orderBy("quantity_on_hand", *KEYS)
+
+
 @query
 def filter_tier(spark, d):
     return U.latest_customers(S.raw_customers(spark, d), ["seq"]).where(F.col("loyalty_tier") == "PLATINUM")
@@ -185,7 +206,7 @@ def high_temp(spark, d):
 
 @query
 def date_device_avg(spark, d):
-    return A.mean_of(B.on_day(_dated(spark, d), "2024-01-10", "device_id", "3"), "temperature", "avg_temp")
+    return _settled(A.mean_of(B.on_day(_dated(spark, d), "2024-01-10", "device_id", "3"), "temperature", "avg_temp"), "avg_temp")
 
 
 @query
@@ -201,7 +222,7 @@ def json_parse(spark, d):
 
 @query
 def format_report(spark, d):
-    means = S.telemetry(spark, d).groupBy("device_id").agg(F.avg(reading(F.col("temperature"))).alias("m"))
+    means = S.telemetry(spark, d).groupBy("device_id").agg(mean(F.col("temperature")).alias("m"))
     return B.formatted(means, "device_id", F.col("m"))
 
 
@@ -301,17 +322,17 @@ def total_records(spark, d):
 
 @query
 def genre_avg(spark, d):
-    return A.mean_by(B.exploded(S.movies(spark, d), "genres", "genre"), ["genre"], "rating", "avg_rating")
+    return _settled(A.mean_by(B.exploded(S.movies(spark, d), "genres", "genre"), ["genre"], "rating", "avg_rating"), "avg_rating")
 
 
 @query
 def device_avg(spark, d):
-    return A.mean_by(S.telemetry(spark, d), ["device_id"], "temperature", "temperature")
+    return _settled(A.mean_by(S.telemetry(spark, d), ["device_id"], "temperature", "temperature"), "temperature")
 
 
 @query
 def user_avg(spark, d):
-    return A.mean_by(S.ratings(spark, d), ["userId"], "rating", "avg_rating")
+    return _settled(A.mean_by(S.ratings(spark, d), ["userId"], "rating", "avg_rating"), "avg_rating")
 
 
 @query
@@ -326,42 +347,49 @@ def device_summary(spark, d):
 
 @query
 def one_device_avg(spark, d):
-    return A.mean_of(S.telemetry(spark, d).where(F.col("device_id") == "3"), "temperature", "avg_temp")
+    return _settled(A.mean_of(S.telemetry(spark, d).where(F.col("device_id") == "3"), "temperature", "avg_temp"), "avg_temp")
 
 
 @query
 def device_daily(spark, d):
-    return A.device_daily(S.telemetry(spark, d))
+    return _settled(A.device_daily(S.telemetry(spark, d)), "avg_temperature", "avg_humidity")
 
 
 @query
 def device_avg_since(spark, d):
-    return A.mean_by(B.since(_dated(spark, d), "2024-01-15"), ["device_id"], "temperature", "avg_temp")
+    return _settled(A.mean_by(B.since(_dated(spark, d), "2024-01-15"), ["device_id"], "temperature", "avg_temp"), "avg_temp")
 
 
 @query
 def sales_daily(spark, d):
-    return A.sales_daily(S.raw_orders(spark, d))
+    return _money(_sales(spark, d), "total_revenue")
 
 
 @query
 def daily_store_revenue(spark, d):
-    return A.store_revenue_by_day(A.sales_daily(S.raw_orders(spark, d)))
+    return _money(A.store_revenue_by_day(_sales(spark, d)), "daily_revenue")
 
 
 @query
 def store_revenue(spark, d):
-    return A.store_revenue(A.sales_daily(S.raw_orders(spark, d))).orderBy(F.desc("revenue"), "store_id")
+    return _money(A.store_revenue(_sales(spark, d)), "revenue").orderBy(F.desc("revenue"), "store_id")
 
 
 @query
 def top_stores(spark, d):
-    return B.top(A.store_revenue(A.sales_daily(S.raw_orders(spark, d))), 5, F.desc("revenue"), F.asc("store_id"))
+    return B.top(_money(A.store_revenue(_sales(spark, d)), "revenue"), 5, F.desc("revenue"), F.asc("store_id"))
+
+
+@query
+def top_store_days(spark, d):
+    """The store days with the greatest revenue; ties go to the earlier day and the smaller store."""
+    days = _money(A.store_revenue_by_day(_sales(spark, d)), "daily_revenue")
+    return B.top(days, 5, F.desc("daily_revenue"), F.asc("date"), F.asc("store_id"))
 
 
 @query
 def dq_revenue(spark, d):
-    revenue = A.store_revenue_by_day(A.sales_daily(S.raw_orders(spark, d)))
+    revenue = A.store_revenue_by_day(_sales(spark, d))
     return quality.rule_counts(revenue, quality.revenue_rules())
 
 
@@ -387,7 +415,7 @@ def dedup_orders(spark, d):
 def numbered_devices(spark, d):
     means = S.table(spark, d, "events").groupBy("user_id").agg(mean(F.col("value")).alias("temperature"))
     ids = ordered.numbered(means, [F.col("user_id")])
-    return ids.select("id", F.col("user_id").cast("string").alias("sensor_id"), "temperature")
+    return _settled(ids.select("id", F.col("user_id").cast("string").alias("sensor_id"), "temperature"), "temperature")
 
 
 @query
@@ -406,17 +434,17 @@ def _stock(spark, d):
 
 @query
 def sales_with_stock(spark, d):
-    return U.sales_with_stock(A.sales_daily(S.raw_orders(spark, d)), _stock(spark, d))
+    return _money(U.sales_with_stock(_sales(spark, d), _stock(spark, d)), "total_revenue")
 
 
 @query
 def product_performance(spark, d):
-    return U.product_performance(A.sales_daily(S.raw_orders(spark, d)), _stock(spark, d))
+    return _money(U.product_performance(_sales(spark, d), _stock(spark, d)), "total_revenue")
 
 
 @query
 def product_performance_fixed(spark, d):
-    return U.product_performance(A.sales_daily(S.raw_orders(spark, d)), _stock(spark, d), stock_once=True)
+    return _money(U.product_performance(_sales(spark, d), _stock(spark, d), stock_once=True), "total_revenue")
 
 
 def _inventory_sides(spark, d, bad):
@@ -671,22 +699,22 @@ def retain_recent(spark, d):
 
 @query
 def tumbling_hour(spark, d):
-    return W.tumbling(S.telemetry(spark, d), "1 hour")
+    return _settled(W.tumbling(S.telemetry(spark, d), "1 hour"), "avg_temperature")
 
 
 @query
 def tumbling_minute(spark, d):
-    return W.tumbling(S.telemetry(spark, d))
+    return _settled(W.tumbling(S.telemetry(spark, d)), "avg_temperature")
 
 
 @query
 def sliding_hour(spark, d):
-    return W.sliding(S.telemetry(spark, d), "1 hour", "30 minutes")
+    return _settled(W.sliding(S.telemetry(spark, d), "1 hour", "30 minutes"), "avg_temperature")
 
 
 @query
 def session_30m(spark, d):
-    return _local(W.sessions(S.telemetry(spark, d), 1800), "window_start", "window_end")
+    return _settled(_local(W.sessions(S.telemetry(spark, d), 1800), "window_start", "window_end"), "avg_temperature")
 
 
 @query
@@ -784,7 +812,7 @@ def stream_sessions(spark, d):
     ingest.drained(
         ingest.append_stream(W.sessions_streaming(timed, "30 minutes"), path, f"{path}-checkpoint", once=True)
     )
-    return _utc(spark.read.parquet(path), "window_start", "window_end")
+    return _settled(_utc(spark.read.parquet(path), "window_start", "window_end"), "avg_temperature")
 
 
 @query
@@ -836,4 +864,4 @@ def curated_run(spark, d):
         spark, S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d), root, ["seq"],
         sales_by="month",
     )
-    return done.product_performance
+    return _money(done.product_performance, "total_revenue")

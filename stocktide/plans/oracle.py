@@ -1,6 +1,6 @@
 """SQL counterparts of the catalogue, written for DuckDB over the same tables.
 
-They share no code with the operators: means in two places come from integer cents,
+They share no code with the operators: means come from integer cents,
 JSON is taken apart with the JSON functions, sessions come from gaps, and states from row
 numbers over the whole log.
 """
@@ -60,14 +60,19 @@ CHANGES = INVENTORY + """, changes AS (
   FROM raw_inventory)"""
 
 
+def rounded_mean(column: str, parts: int) -> str:
+    """Mean in whole ``parts`` of one (100: hundredths), rounded half up, for values from zero up and in cents."""
+    total = f"CAST(SUM(CAST({column} AS DECIMAL(18,2))) * 100 AS HUGEINT) * {parts // 100}"
+    return f"((2 * {total} + COUNT({column})) // (2 * COUNT({column})))"
+
+
 def mean(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(18,2))) AS DOUBLE) / COUNT({column})"
+    """In six places."""
+    return f"CAST({rounded_mean(column, 1_000_000)} AS DOUBLE) / 1000000"
 
 
 def cents(column: str) -> str:
-    """Mean rounded half up to whole hundredths, for values from zero up."""
-    total = f"CAST(SUM(CAST({column} AS DECIMAL(18,2))) * 100 AS BIGINT)"
-    return f"((2 * {total} + COUNT({column})) // (2 * COUNT({column})))"
+    return rounded_mean(column, 100)
 
 
 def mean_2dp(column: str) -> str:
@@ -471,6 +476,8 @@ def statements() -> dict[str, str]:
         "filter_rating": f"WITH {RATINGS} SELECT * FROM ratings WHERE rating >= 4.0",
         "filter_anomaly": t + "SELECT * FROM telemetry WHERE status <> 'OK'",
         "low_stock": f"WITH {INVENTORY} SELECT * FROM ({stock()}) WHERE quantity_on_hand < 10",
+        "low_stock_report": f"""WITH {INVENTORY} SELECT store_id, product_id, quantity_on_hand, event_time AS last_updated
+            FROM ({stock()}) WHERE quantity_on_hand < 10 ORDER BY quantity_on_hand, store_id, product_id""",
         "filter_tier": f"WITH {CUSTOMERS} SELECT * FROM ({people()}) WHERE loyalty_tier = 'PLATINUM'",
         "completed_orders": f"WITH {ORDERS} SELECT * FROM raw_orders WHERE status = 'COMPLETED'",
         "high_temp": t + "SELECT * FROM telemetry WHERE COALESCE(temperature, 0) > 80.0",
@@ -516,6 +523,7 @@ def statements() -> dict[str, str]:
         "daily_store_revenue": f"WITH {REVENUE} SELECT * FROM revenue",
         "store_revenue": f"WITH {STORES} SELECT * FROM stores ORDER BY revenue DESC, store_id",
         "top_stores": f"WITH {STORES} SELECT * FROM stores ORDER BY revenue DESC, store_id LIMIT 5",
+        "top_store_days": f"WITH {REVENUE} SELECT * FROM revenue ORDER BY daily_revenue DESC, date, store_id LIMIT 5",
         "dq_revenue": f"""WITH {REVENUE} SELECT 'daily_revenue_not_negative' AS rule,
             COUNT(*) FILTER (WHERE daily_revenue < 0) AS bad_rows,
             COUNT(*) FILTER (WHERE daily_revenue < 0) = 0 AS passed FROM revenue""",

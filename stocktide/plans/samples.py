@@ -39,21 +39,26 @@ def telemetry_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry(spark, sf_dir).withColumn("arrival", moved)
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, spread_out: bool = False, customers: bool = True) -> DataFrame:
+    """Order lines; the customer needs a join, which ``customers=False`` leaves out."""
     items = scan(spark, sf_dir, "lineitem", spread_out)
-    heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     status = (
         F.when(F.col("l_returnflag") == "N", "COMPLETED")
         .when(F.col("l_returnflag") == "R", "RETURNED")
         .otherwise("CANCELLED")
     )
-    return items.join(heads, items["l_orderkey"] == heads["o_orderkey"]).select(
+    customer = []
+    if customers:
+        heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        items = items.join(heads, items["l_orderkey"] == heads["o_orderkey"])
+        customer = [F.col("o_custkey").cast("string").alias("customer_id")]
+    return items.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_id"),
         F.col("l_suppkey").cast("string").alias("store_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
+        *customer,
         _midnight("l_shipdate").alias("event_time"),
         status.alias("status"),
     )

@@ -55,9 +55,32 @@ def test_rounding_is_decimal(spark):
 
 def test_sums_do_not_depend_on_order(spark):
     df = spark.range(10_000).withColumn("x", (F.col("id") % 97) / 100)
-    a = df.repartition(7).agg(N.total(F.col("x")).alias("s")).first()["s"]
-    b = df.orderBy(F.desc("id")).coalesce(1).agg(N.total(F.col("x")).alias("s")).first()["s"]
-    assert a == b
+    for value in (N.settled(N.total(F.col("x"))), N.total(F.col("x").cast("decimal(18,4)"))):
+        a = df.repartition(7).agg(value.alias("s")).first()["s"]
+        b = df.orderBy(F.desc("id")).coalesce(1).agg(value.alias("s")).first()["s"]
+        assert a == b
+
+
+def test_means_keep_every_magnitude(spark):
+    def mean_of(*values):
+        return spark.createDataFrame([(v,) for v in values], "value double").select(N.mean(F.col("value"))).first()[0]
+
+    assert mean_of(1e-7, 3e-7) == 2e-7
+    assert mean_of(1e15, 1e15) == 1e15 and mean_of(1e300) == 1e300
+    assert mean_of(1.0, float("inf")) == float("inf")
+    assert mean_of(None) is None and mean_of(float("nan")) is None
+    assert one(spark, N.round_2dp(F.lit(1e15))) == 1e15
+
+
+def test_readings_that_are_not_finite_are_rejected(spark):
+    from stocktide.operators import validate as V
+
+    message = '{"device_id":"a","temperature":"%s","humidity":1,"status":"OK","timestamp":"2026-01-01T00:00:00Z"}'
+    rows = [(message % text,) for text in ("nan", "inf", "-Infinity", "1e15", "1e-7")]
+    df = spark.createDataFrame(rows, "value string").select(F.col("value").cast("binary").alias("value"))
+    for tagged in (V.tag_readings(df), V.tag_telemetry(df)):
+        assert sorted(r["temperature"] for r in V.valid(tagged).collect()) == [1e-7, 1e15]
+        assert [r["reason"] for r in V.rejected(tagged).select("reason").collect()] == [V.UNUSABLE] * 3
 
 
 def test_explode_and_outer(spark):
