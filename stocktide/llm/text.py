@@ -56,7 +56,9 @@ def rows_back(docs: DataFrame, keys: DataFrame, columns: list[str] | None = None
     """The rows of ``docs`` named by ``keys`` (``doc_id``, ``text_key``, unique), one row for
     each key although a row may be there twice. Null ids match null ids."""
     keep = columns or [c for c in DOCUMENT_COLUMNS if c in docs.columns]
-    left = docs.select(*keep).withColumn("_key", text_key())
-    right = keys.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key"))
-    joined = left.join(right, left["doc_id"].eqNullSafe(right["_id"]) & (left["_key"] == right["_text_key"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_key"]).select(*keep)
+    # the same plain columns join and remove repeats, so texts are shuffled once
+    place = {"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "_no_id": F.col("doc_id").isNull()}
+    left = docs.select(*keep).withColumns({**place, "_text_key": text_key()})
+    right = keys.select(*[c.alias(name) for name, c in place.items()], F.col("text_key").alias("_text_key"))
+    on = [*place, "_text_key"]
+    return left.join(right, on, "left_semi").dropDuplicates(on).select(*keep)
