@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktide.llm.text import DOCUMENT_COLUMNS, narrow, over_batches, text_key, texts, words_of
+from stocktide.llm.text import DOCUMENT_COLUMNS, narrow, over_batches, rows_back, text_key, texts, words_of
 from stocktide.session import staged
 
 WEIGHTS = (1.0, 2.0, 3.0)  # repeating over the sources in code point order, null last
@@ -218,10 +218,7 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     chosen, _ = mix(sized(docs))
     copies = chosen.groupBy("doc_id", "text_key").agg(F.sum("copies").alias("_copies")).filter("_copies > 0")
     keep = [c for c in DOCUMENT_COLUMNS if c in docs.columns]
-    left = docs.select(*keep).withColumn("_key", text_key())
-    right = copies.select(F.col("doc_id").alias("_id"), "text_key", "_copies")
-    joined = left.join(right, left["doc_id"].eqNullSafe(right["_id"]) & (left["_key"] == right["text_key"]))
-    once = joined.dropDuplicates(["doc_id", "_key"])
+    once = rows_back(docs, copies, keep, "_copies")
     return once.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).select(*keep)
 
 

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SLICE_BYTES = 4 << 20  # texts that a task turns into Python objects at once
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,25 +43,41 @@ def texts(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about ``most`` bytes; a longer row is a run of its own."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // most)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
 def over_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``work`` on each Arrow batch, whose size Spark bounds in rows and bytes."""
+    """``work`` on slices of each Arrow batch. Spark bounds a batch in rows, and the slice bounds the copies
+    that ``work`` makes of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(batch) if batch.num_rows else None
-            if made is not None:
-                yield made
+            for part in slices(batch):
+                made = work(part)
+                if made is not None:
+                    yield made
 
     return df.mapInArrow(run, schema)
 
 
-def rows_back(docs: DataFrame, keys: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def rows_back(docs: DataFrame, keys: DataFrame, columns: list[str] | None = None, carry: str | None = None) -> DataFrame:
     """The rows of ``docs`` named by ``keys`` (``doc_id``, ``text_key``, unique), one row for
-    each key although a row may be there twice. Null ids match null ids."""
+    each key although a row may be there twice. Null ids match null ids. ``carry`` names a column
+    of ``keys`` to bring along."""
     keep = columns or [c for c in DOCUMENT_COLUMNS if c in docs.columns]
+    more = [carry] if carry else []
     # the same plain columns join and remove repeats, so texts are shuffled once
     place = {"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), "_no_id": F.col("doc_id").isNull()}
     left = docs.select(*keep).withColumns({**place, "_text_key": text_key()})
-    right = keys.select(*[c.alias(name) for name, c in place.items()], F.col("text_key").alias("_text_key"))
+    right = keys.select(*[c.alias(name) for name, c in place.items()], F.col("text_key").alias("_text_key"), *more)
     on = [*place, "_text_key"]
-    return left.join(right, on, "left_semi").dropDuplicates(on).select(*keep)
+    return left.join(right, on, "inner" if carry else "left_semi").dropDuplicates(on).select(*keep, *more)
