@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SLICE_BYTES = 4 << 20  # texts that a task turns into Python objects at once
+SLICE_ROWS = 1 << 11
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,9 +44,9 @@ def texts(column: pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in runs of about ``most`` bytes; a longer row is a run of its own."""
-    size = np.zeros(batch.num_rows, np.int64)
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about ``most`` bytes and ``rows`` rows; a longer row is a run of its own."""
+    size = np.full(batch.num_rows, most // rows, np.int64)
     for column in batch.columns:
         if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
             size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
