@@ -17,7 +17,7 @@ returns a spanning forest of the links in its group, not all links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -236,10 +236,10 @@ def near_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return rows.join(ids, "fp").select("doc_id", "text_key", "fp", "component", "component_id")
 
 
-def kept_rows(docs: DataFrame) -> DataFrame:
+def kept_rows(docs: DataFrame, groups: Callable[[DataFrame], DataFrame] = near_groups) -> DataFrame:
     """One row of each component stays: the one with the smallest id, then the smallest text key."""
     path = scratch_path(docs.sparkSession, "near-groups")
-    near_groups(docs).write.parquet(path)
+    groups(docs).write.parquet(path)
     found = docs.sparkSession.read.parquet(path)
     first = found.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
