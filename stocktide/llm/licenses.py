@@ -1,9 +1,10 @@
 """License scans: TF-IDF cosine of lines to templates, then inheritance from the nearest directory.
 
 Every line of every whole text is compared with short templates (headers and opening
-sentences of licences). Inverse document frequencies come from all documents; a template
-term that more than ``COMMON`` of them contain carries no weight, and a term of no
-template counts as one no document has. A file that is a licence file, by its name
+sentences of licences). Inverse document frequencies come from all documents and never reach
+zero, so a licence line keeps its weight however many documents have it; a term of no
+template counts as one no document has. Lines without any of the rare terms that a
+similarity of ``LIKE`` needs are left out before they are compared. A file that is a licence file, by its name
 or because licence lines make up much of it, speaks for its directory. A file without
 a licence of its own inherits from the nearest ancestor directory that has one.
 
@@ -21,7 +22,6 @@ from pyspark.sql import functions as F
 from stocktide.session import staged
 
 LIKE = 0.7  # cosine from which a line is a licence line
-COMMON = 0.05
 FILE_SHARE = 0.25  # of a file's terms in licence lines, from which it is a licence file
 FILE_NAME = r"(?i)^(un)?(licen[cs]e|copying|notice|copyright)\b"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -58,19 +58,41 @@ def term_weights(files: DataFrame, templates: list) -> tuple[dict[str, float], f
     inside = files.select(F.explode(F.array_intersect(_terms(F.col("text")), known)).alias("term"))
     n = files.count()
     counts = {r["term"]: r["n"] for r in inside.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    unseen = math.log(1 + n) if n else 1.0
-    weights = {t: 0.0 if counts.get(t, 0) > COMMON * n else math.log((1 + n) / (1 + counts.get(t, 0))) or 1.0 for t in vocabulary}
+    unseen = math.log(1 + n) + 1
+    weights = {t: math.log((1 + n) / (1 + counts.get(t, 0))) + 1 for t in vocabulary}
     return weights, unseen
 
 
-def template_vectors(spark, templates: list, weights: dict[str, float]) -> DataFrame:
-    """form, license, term, share: unit vectors of the templates."""
-    rows = []
-    for form, (name, text) in enumerate(templates):
+def unit_vectors(templates: list, weights: dict[str, float]) -> list[dict[str, float]]:
+    """Share of each term in the unit vector of each template."""
+    made = []
+    for _, text in templates:
         terms = re.findall(TERM, text.lower())
-        vector = {t: terms.count(t) * weights[t] for t in set(terms) if weights[t]}
+        vector = {t: terms.count(t) * weights[t] for t in sorted(set(terms))}
         norm = math.sqrt(sum(w * w for w in vector.values()))
-        rows += [(form, name, t, w / norm) for t, w in sorted(vector.items())]
+        made.append({t: w / norm for t, w in vector.items()})
+    return made
+
+
+def telling_terms(vectors: list[dict[str, float]], weights: dict[str, float], like: float) -> list[str]:
+    """Terms of which any line has one that is similar to a template.
+
+    With no other terms in common than the most frequent ones of a template, a line has at most the
+    length of that part of the unit vector as cosine; as long as it is below ``like``, they are left out.
+    """
+    found = set()
+    for vector in vectors:
+        rest = 0.0
+        for term in sorted(vector, key=lambda t: (weights[t], t)):
+            rest += vector[term] ** 2
+            if math.sqrt(rest) >= like - 1e-6:
+                found.add(term)
+    return sorted(found)
+
+
+def template_vectors(spark, templates: list, vectors: list[dict[str, float]]) -> DataFrame:
+    """form, license, term, share: unit vectors of the templates."""
+    rows = [(form, name, *item) for form, ((name, _), vector) in enumerate(zip(templates, vectors)) for item in vector.items()]
     return spark.createDataFrame(rows, "form int, license string, term string, share double")
 
 
@@ -82,13 +104,14 @@ def scan(files: DataFrame, templates: list = TEMPLATES, like: float = LIKE) -> D
     """
     spark = files.sparkSession
     weights, unseen = term_weights(files, templates)
-    weighted = [t for t, w in weights.items() if w] or [""]
+    shares = unit_vectors(templates, weights)
+    needed = telling_terms(shares, weights, like)
     # one pass over the texts: what is stored are the other columns and the few lines that can match
     def marked(body: Column, line: Column) -> Column:
         return F.struct(line.alias("line"), _terms(body).alias("terms"))
 
     lines = F.transform(F.split("text", "\n"), marked)
-    wanted = F.filter(lines, lambda x: F.arrays_overlap(x["terms"], F.array(*map(F.lit, weighted))))
+    wanted = F.filter(lines, lambda x: F.arrays_overlap(x["terms"], F.array(*map(F.lit, needed))))
     rows = files.withColumns(
         {"uid": F.monotonically_increasing_id(), "telling": wanted, "terms_in_all": F.size(_terms(F.col("text")))}
     )
@@ -101,7 +124,7 @@ def scan(files: DataFrame, templates: list = TEMPLATES, like: float = LIKE) -> D
     known = spark.createDataFrame(sorted(weights.items()), "term string, weight double")
     vectors = counted.join(known, "term", "left").withColumn("value", F.col("tf") * F.coalesce("weight", F.lit(unseen)))
     norms = vectors.groupBy("uid", "line").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.sum("tf").alias("n"))
-    dots = vectors.filter("value > 0").join(template_vectors(spark, templates, weights), "term").groupBy("uid", "line", "form", "license").agg(
+    dots = vectors.join(template_vectors(spark, templates, shares), "term").groupBy("uid", "line", "form", "license").agg(
         F.sum(F.col("value") * F.col("share")).alias("dot")
     )
     alike = dots.join(norms, ["uid", "line"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= like)
