@@ -1,9 +1,11 @@
 """License scans: TF-IDF cosine of lines to templates, then inheritance from the nearest directory.
 
-Every line of every whole text is compared with short templates (headers and opening
-sentences of licences). Inverse document frequencies come from all documents and never reach
+Every line of every whole text, groups of neighbouring lines with up to ``MOST_TERMS`` terms and
+the whole text are compared with templates: opening sentences, standard headers and, for
+whole texts, full licences (``license_texts``). In a whole text the frequency of a term
+counts by its logarithm, or common words would make all long texts alike. Inverse document frequencies come from all documents and never reach
 zero, so a licence line keeps its weight however many documents have it; a term of no
-template counts as one no document has. Lines without any of the rare terms that a
+template counts as one no document has. Lines and groups without any of the rare terms that a
 similarity of ``LIKE`` needs are left out before they are compared. A file that is a licence file, by its name
 or because licence lines make up much of it, speaks for its directory. A file without
 a licence of its own inherits from the nearest ancestor directory that has one.
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,15 +48,71 @@ TEMPLATES = [
     ("Proprietary", "Copyright. All rights reserved"),
 ]
 
+#: Headers as their licences ask for them; they stand on one line or on several.
+_GNU = (
+    "This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License "
+    "as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version."
+)
+_GNU_END = (
+    " This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+    "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details."
+)
+_APACHE = (
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+)
+_APACHE_END = (
+    " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+    '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+    "language governing permissions and limitations under the License."
+)
+_MPL = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+    "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+)
+_GNU_KINDS = [
+    ("AGPL-3.0", "Affero ", "3", "19 November 2007"), ("GPL-2.0", "", "2", "June 1991"), ("GPL-3.0", "", "3", "29 June 2007"),
+    ("LGPL-2.1", "Lesser ", "2.1", "February 1999"), ("LGPL-3.0", "Lesser ", "3", "29 June 2007"),
+]
+_NAMED = [
+    ("AGPL-3.0", "GNU Affero General Public License v3.0"), ("Apache-2.0", "Apache License 2.0"), ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"), ("GPL-2.0", "GNU General Public License v2.0"), ("GPL-3.0", "GNU General Public License v3.0"),
+    ("ISC", "ISC License"), ("LGPL-3.0", "GNU Lesser General Public License v3.0"), ("MIT", "MIT License"), ("MPL-2.0", "Mozilla Public License 2.0"),
+]
+_TAGS = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "ISC", "MIT", "MPL-2.0"]
+HEADERS = [
+    *[(name, _GNU.format(work="program", kind=kind, v=v) + end.format(work="program", kind=kind)) for name, kind, v, _ in _GNU_KINDS for end in ("", _GNU_END)],
+    *[(name, f"GNU {kind}General Public License Version {v}, {date}") for name, kind, v, date in _GNU_KINDS],
+    ("Apache-2.0", _APACHE), ("Apache-2.0", _APACHE + _APACHE_END), ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("MPL-2.0", _MPL), ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
+    ("MIT", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    *[(name, f"This project is licensed under the {title} - see the LICENSE file for details") for name, title in _NAMED],
+    *[(name, f"SPDX-License-Identifier: {name}") for name in _TAGS],
+    *[(name, f"SPDX-License-Identifier: {name}{end}") for name, _, _, _ in _GNU_KINDS for end in ("", "-only", "-or-later")],
+]
+FULL_TEXTS = [(p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+GROUPS = (1, 2, 3, 4, 5, 6, 8, 11, 16, 22)  # lines with terms in a group
+MOST_TERMS = 300
+
 
 def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _listed(terms: list[str]) -> Column:
+    return F.split(F.lit(" ".join(terms)), " ")
+
+
+def _damped(tf: int) -> float:
+    return 1 + math.log(tf)
+
+
 def term_weights(files: DataFrame, templates: list) -> tuple[dict[str, float], float]:
     """Inverse document frequency of each template term over all files, and that of an unseen term."""
     vocabulary = sorted({t for _, text in templates for t in re.findall(TERM, text.lower())})
-    known = F.array(*map(F.lit, vocabulary))
+    known = _listed(vocabulary)
     # terms of a text that a template has; one row per term and task reaches the shuffle
     inside = files.select(F.explode(F.array_intersect(_terms(F.col("text")), known)).alias("term"))
     n = files.count()
@@ -63,12 +122,12 @@ def term_weights(files: DataFrame, templates: list) -> tuple[dict[str, float], f
     return weights, unseen
 
 
-def unit_vectors(templates: list, weights: dict[str, float]) -> list[dict[str, float]]:
+def unit_vectors(templates: list, weights: dict[str, float], counted=float) -> list[dict[str, float]]:
     """Share of each term in the unit vector of each template."""
     made = []
     for _, text in templates:
         terms = re.findall(TERM, text.lower())
-        vector = {t: terms.count(t) * weights[t] for t in sorted(set(terms))}
+        vector = {t: counted(terms.count(t)) * weights[t] for t in sorted(set(terms))}
         norm = math.sqrt(sum(w * w for w in vector.values()))
         made.append({t: w / norm for t, w in vector.items()})
     return made
@@ -90,53 +149,92 @@ def telling_terms(vectors: list[dict[str, float]], weights: dict[str, float], li
     return sorted(found)
 
 
+def fewest_terms(vector: dict[str, float], like: float) -> int:
+    """Number of different terms of a template that any similar text has."""
+    rest = 0.0
+    for n, share in enumerate(sorted(vector.values(), reverse=True), start=1):
+        rest += share**2
+        if math.sqrt(rest) >= like - 1e-6:
+            return n
+    return len(vector)
+
+
 def template_vectors(spark, templates: list, vectors: list[dict[str, float]]) -> DataFrame:
     """form, license, term, share: unit vectors of the templates."""
     rows = [(form, name, *item) for form, ((name, _), vector) in enumerate(zip(templates, vectors)) for item in vector.items()]
     return spark.createDataFrame(rows, "form int, license string, term string, share double")
 
 
-def scan(files: DataFrame, templates: list = TEMPLATES, like: float = LIKE) -> DataFrame:
+def scan(files: DataFrame, templates: list | None = None, like: float = LIKE, full: list | None = None) -> DataFrame:
     """One row per row of ``files`` (path, text and others): with ``license``, ``cosine`` and ``line`` of its most
-    similar licence line, all null where there is none, and ``file_share``.
+    similar licence line or group of lines (its first line), all null where there is none, and ``file_share``.
 
-    Ties go to the first line, then to the first template. A null or empty text has no licence.
+    A whole text that is like a full licence has that licence, from line 0. Ties go to the first
+    line, then to the first template. A null or empty text has no licence.
     """
     spark = files.sparkSession
-    weights, unseen = term_weights(files, templates)
-    shares = unit_vectors(templates, weights)
-    needed = telling_terms(shares, weights, like)
+    templates = TEMPLATES + HEADERS if templates is None else templates
+    full = FULL_TEXTS if full is None else full
+    weights, unseen = term_weights(files, templates + full)
+    shares, whole_shares = unit_vectors(templates, weights), unit_vectors(full, weights, _damped)
+    needed = _listed(telling_terms(shares, weights, like))
     # one pass over the texts: what is stored are the other columns and the few lines that can match
     def marked(body: Column, line: Column) -> Column:
-        return F.struct(line.alias("line"), _terms(body).alias("terms"))
+        terms = _terms(body)
+        return F.struct(line.alias("line"), terms.alias("terms"))
 
-    lines = F.transform(F.split("text", "\n"), marked)
-    wanted = F.filter(lines, lambda x: F.arrays_overlap(x["terms"], F.array(*map(F.lit, needed))))
-    rows = files.withColumns(
-        {"uid": F.monotonically_increasing_id(), "telling": wanted, "terms_in_all": F.size(_terms(F.col("text")))}
-    )
-    rows = staged(rows.drop("text"), "license-lines")
-    stored = rows.drop("telling", "terms_in_all")
-    telling = rows.select("uid", F.inline("telling"))
-    counted = telling.select("uid", "line", F.explode("terms").alias("term")).groupBy("uid", "line", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+    lines = F.filter(F.transform(F.split("text", "\n"), marked), lambda x: F.size(x["terms"]) > 0)
+    every = _terms(F.col("text"))
+    ours = F.array_intersect(every, _listed(sorted(weights)))
+
+    def possible(vectors: list) -> Column:
+        """The text has the terms that a line, a group or a whole text similar to one of the templates has."""
+        found = F.lit(False)
+        for vector in vectors:
+            both = F.array_intersect("ours", _listed(sorted(vector)))
+            found = found | ((F.size(both) >= fewest_terms(vector, like)) & F.arrays_overlap("ours", _listed(telling_terms([vector], weights, like))))
+        return found
+
+    rows = files.withColumns({"uid": F.monotonically_increasing_id(), "every": every}).withColumns(
+        {"ours": ours, "terms_in_all": F.size("every")}
+    ).withColumns({"some": possible(shares), "all": possible(whole_shares)})
+    rows = rows.withColumns({"lines": F.when(F.col("some"), lines), "every": F.when(F.col("all"), F.col("every"))})
+    rows = rows.drop("text", "ours", "some", "all")
+    rows = staged(rows, "license-lines")
+    stored = rows.drop("lines", "terms_in_all", "every")
+
+    # groups of neighbouring lines that have terms, and whole texts as group 0
+    begun = rows.filter("lines is not null").select("uid", "lines", F.posexplode(F.col("lines.line")).alias("at", "line"))
+    groups = begun.withColumn("many", F.explode(F.array(*map(F.lit, GROUPS)))).filter(F.col("at") + F.col("many") <= F.size("lines"))
+    groups = groups.select("uid", "line", "many", F.flatten(F.expr("slice(lines, at + 1, many)")["terms"]).alias("terms"))
+    groups = groups.filter((F.col("many") == 1) | (F.size("terms") <= MOST_TERMS)).filter(F.arrays_overlap("terms", needed))
+    whole = rows.filter("every is not null").select("uid", F.lit(0).alias("line"), F.lit(0).alias("many"), F.col("every").alias("terms"))
+    unit = ["uid", "line", "many"]
+    counted = groups.unionAll(whole).select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("tf"))
     known = spark.createDataFrame(sorted(weights.items()), "term string, weight double")
-    vectors = counted.join(known, "term", "left").withColumn("value", F.col("tf") * F.coalesce("weight", F.lit(unseen)))
-    norms = vectors.groupBy("uid", "line").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.sum("tf").alias("n"))
-    dots = vectors.join(template_vectors(spark, templates, shares), "term").groupBy("uid", "line", "form", "license").agg(
+    tf = F.when(F.col("many") == 0, 1 + F.log(F.col("tf").cast("double"))).otherwise(F.col("tf"))
+    vectors = counted.join(known, "term", "left").withColumn("value", tf * F.coalesce("weight", F.lit(unseen)))
+    norms = vectors.groupBy(*unit).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.sum("tf").alias("n"))
+    sides = template_vectors(spark, templates, shares).withColumn("whole", F.lit(False)).unionAll(
+        template_vectors(spark, full, whole_shares).withColumn("whole", F.lit(True))
+    )
+    dots = vectors.withColumn("whole", F.col("many") == 0).join(sides, ["term", "whole"]).groupBy(*unit, "form", "license").agg(
         F.sum(F.col("value") * F.col("share")).alias("dot")
     )
-    alike = dots.join(norms, ["uid", "line"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= like)
-    best_of_line = alike.groupBy("uid", "line").agg(
+    alike = dots.join(norms, unit).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= like)
+    best_of_unit = alike.groupBy(*unit).agg(
         F.max(F.struct("cosine", (-F.col("form")).alias("form"), "license")).alias("best"), F.first("n").alias("n")
     )
-    best = best_of_line.groupBy("uid").agg(
-        F.max(F.struct("best.cosine", (-F.col("line")).alias("line"), "best.form", "best.license")).alias("found"), F.sum("n").alias("inside")
+    best = best_of_unit.groupBy("uid").agg(
+        F.max(F.struct(
+            (F.col("many") == 0).alias("whole"), "best.cosine", (-F.col("line")).alias("line"), (-F.col("many")).alias("many"),
+            "best.form", "best.license", "n",
+        )).alias("found"),
+        F.coalesce(F.sum(F.when(F.col("many") == 1, F.col("n"))), F.lit(0)).alias("inside"),
     )
     found = best.join(rows.select("uid", "terms_in_all"), "uid").select(
         "uid", F.col("found.license").alias("license"), F.col("found.cosine").alias("cosine"), (-F.col("found.line")).alias("line"),
-        (F.col("inside") / F.col("terms_in_all")).alias("file_share"),
+        (F.greatest("inside", "found.n") / F.col("terms_in_all")).alias("file_share"),
     )
     return stored.join(found, "uid", "left").drop("uid")
 

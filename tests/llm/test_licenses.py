@@ -43,8 +43,42 @@ def _best(files):
 def test_frequent_line_is_found(spark, n, hot):
     files = _files(random.Random(n), n, hot)
     files[-1] = (files[-1][0], files[-1][1] + "\n# Licensed under CC BY-NC, version 4.0 of this work")
-    got = {r["path"]: (r["license"], r["cosine"]) for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    got = {r["path"]: (r["license"], r["cosine"]) for r in licenses.scan(spark.createDataFrame(files, "path string, text string"), licenses.TEMPLATES, full=[]).collect()}
     want = _best(files)
     assert all(got[f"d/{i}.py"][0] == "MIT" for i in range(hot) if i < n - 1 or hot == n == 1)
     for path, cosine in want.items():
         assert got[path][1] == (pytest.approx(cosine, abs=1e-8) if cosine >= licenses.LIKE else None)
+
+
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     https://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+GNU = """ * Frobnicate is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU Lesser General Public License as published by
+ * the Free Software Foundation; either version 3 of the License, or
+ * (at your option) any later version."""
+
+
+def test_headers_tags_and_whole_licences(spark):
+    full = dict(licenses.FULL_TEXTS)
+    wanted = {
+        "apache.py": ("Apache-2.0", APACHE), "oneline.py": ("Apache-2.0", " ".join(APACHE.replace("#", "").split())), "gnu.c": ("LGPL-3.0", GNU),
+        "tag.c": ("Apache-2.0", "// SPDX-License-Identifier: Apache-2.0"), "later.c": ("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0-or-later */"),
+        "readme.md": ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details"),
+        "title": ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007"),
+        "gpl": ("GPL-3.0", full["GPL-3.0"]), "gpl2": ("GPL-2.0", full["GPL-2.0"]), "asl": ("Apache-2.0", full["Apache-2.0"]),
+        "mit": ("MIT", "Copyright (c) 2019 Some One\n\n" + full["MIT"].split("\n", 2)[2]),
+        "isc": ("ISC", "Copyright 2020 Some One <one@example.org>\n" + full["ISC"]),
+    }
+    rng = random.Random(5)
+    plain = _files(rng, 40, 0)
+    around = [(path, text if path in full or len(text) > 900 else f"import os\n{text}\n\ndef main():\n    return 1") for path, (_, text) in wanted.items()]
+    got = {r["path"]: r["license"] for r in licenses.scan(spark.createDataFrame(around + plain, "path string, text string")).collect()}
+    assert {p: got[p] for p in wanted} == {p: name for p, (name, _) in wanted.items()}
+    assert all(got[p] is None for p, _ in plain)
