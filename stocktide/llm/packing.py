@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocktide.llm.text import narrow, over_batches
+from stocktide.llm.text import gathered, narrow, over_batches
 from stocktide.session import staged
 
 CAPACITY = 2048
@@ -58,7 +58,6 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
     ends = np.zeros(max(made.get_vocab().values()) + 1, bool)
     ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
     return made, ends, {"": b""}
@@ -80,14 +79,6 @@ def _learn(tokenizer, ends: np.ndarray, known: dict[str, bytes], letters: list[s
         known[part] = np.array(found.ids, "<u4").tobytes()
 
 
-def _gathered(values: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows ``picks`` of a table one after the other, and their sizes; row i holds ``sizes[i]`` of ``values``."""
-    starts = np.cumsum(sizes) - sizes
-    picked = sizes[picks]
-    before = np.cumsum(picked) - picked
-    return values[np.repeat(starts[picks] - before, picked) + np.arange(picked.sum())], picked
-
-
 def _encode_slice(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     tokenizer, ends, known = _tokenizer(path)
     split = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
@@ -112,15 +103,15 @@ def _encode_slice(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     halves[is_plain, 1] = marks.indices.to_numpy() + len(own)
     halves[~is_plain, 0] = np.arange(len(whole)) + nothing - len(whole)
     sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
-    values, sizes = _gathered(np.frombuffer(b"".join(table), "<u4"), sizes, halves.ravel())
-    ids, sizes = _gathered(values, sizes.reshape(-1, 2).sum(1), words.indices.to_numpy())
+    values, sizes = gathered(np.frombuffer(b"".join(table), "<u4"), sizes, halves.ravel())
+    ids, sizes = gathered(values, sizes.reshape(-1, 2).sum(1), words.indices.to_numpy())
     total = np.concatenate([[0], np.cumsum(sizes)])
     return ids, total[split.offsets.to_numpy() - split.offsets[0].as_py()]
 
 
 def encode(column: pa.Array, path: str) -> Iterator[bytes]:
-    """Ids of each text as little-endian 32-bit numbers. The tokenizer drops white space and no token spans
-    it, so every different word of a slice of texts is looked up once, and its parts are remembered, up to a bound."""
+    """Ids of each text as little-endian 32-bit numbers. The tokenizer drops white space and no token, special
+    ones included, spans it, so every different word of a slice of texts is looked up once, and its parts are remembered, up to a bound."""
     lengths = np.cumsum(pc.binary_length(column).to_numpy()) // SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), len(column)]
     for start, end in zip(cuts, cuts[1:]):

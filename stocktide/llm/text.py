@@ -56,6 +56,14 @@ def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES, rows: int = SLICE_ROW
             yield batch.slice(start, end - start)
 
 
+def gathered(values: np.ndarray, sizes: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``picks`` of a table one after the other, and their sizes; row i holds ``sizes[i]`` of ``values``."""
+    starts = np.cumsum(sizes) - sizes
+    picked = sizes[picks]
+    before = np.cumsum(picked) - picked
+    return values[np.repeat(starts[picks] - before, picked) + np.arange(picked.sum())], picked
+
+
 def over_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``work`` on slices of each Arrow batch. Spark bounds a batch in rows, and the slice bounds the copies
     that ``work`` makes of the texts."""
