@@ -50,6 +50,9 @@ def differences(spark_df, con, sql: str) -> str | None:
     if kinds != wanted:
         return f"columns {sorted(kinds.items())} and {sorted(wanted.items())}"
     got, want = spark_df.toPandas(), con.execute(sql).fetchdf()
+    for name, kind in kinds.items():
+        if kind in ("BIGINT", "INTEGER"):  # with nulls, pandas would hold one side as floats
+            got[name], want[name] = got[name].astype("Int64"), want[name].astype("Int64")
     if len(got) != len(want):
         return f"{len(got)} rows and {len(want)} rows"
     for a, b in zip(_plain(got), _plain(want)):
