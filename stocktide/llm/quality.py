@@ -21,7 +21,7 @@ from stocktide.llm.text import DOCUMENT_COLUMNS, narrow, over_batches, text_key,
 
 DICTIONARY_ROWS = 800  # labelled documents of each label for the dictionaries
 CURVE_ROWS = 800  # and for the curve
-LONGEST_SAMPLE = 64_000  # bytes; longer labelled documents are not sampled for training
+LONGEST_SAMPLE = 64_000  # bytes; longer labelled documents are not sampled; 205 MB at most reach the driver
 DICTIONARY_BYTES = 64_000
 CHUNK = 2048
 LEVEL = 3
@@ -98,8 +98,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> list:
     ]
     chosen = F.broadcast(first[0].unionByName(first[1]).select("_id", "_label"))  # at most twice the bound
     rows = narrow(docs).filter(F.octet_length("text") <= LONGEST_SAMPLE)
-    found = rows.join(chosen, rows["doc_id"] == chosen["_id"]).select("_id", "_label", "text").collect()
-    return sorted(found, key=lambda r: (hash_order(r["_id"]), r["_id"], r["text"]))
+    # one row for each id, however often it is repeated
+    found = rows.join(chosen, rows["doc_id"] == chosen["_id"]).groupBy("_id", "_label").agg(F.min("text").alias("text"))
+    return sorted(found.collect(), key=lambda r: (hash_order(r["_id"]), r["_id"]))
 
 
 def hash_order(doc_id: int) -> int:

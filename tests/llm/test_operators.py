@@ -390,6 +390,20 @@ def test_crossover_keeps_all_pieces():
     assert all(sum(sizes[i] for i in g) <= 100 for g in child)
 
 
+def test_samples_hold_one_row_for_each_id(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.cd"), (2, "text")] + [(3, "call +1 555 0100 200")] * 300, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id bigint, quality int")
+    assert len(quality._sample(docs, labels)) <= 3
+    pii.train(docs)
+
+
+def test_digits_far_into_a_long_token():
+    core = "." * 5000 + "5550100"
+    graph = pii.graph_of([f"x{core} 5550100"], [[[] for _ in range(4)]])
+    assert graph.skip.tolist() == [[0, 1]]  # the last seven digits are the same
+    assert pii.features("x" * 5000 + "1")[14]
+
+
 # ---- 10 licences ------------------------------------------------------------------------
 
 
