@@ -35,10 +35,11 @@ def merge_inventory(target: DataFrame, updates: DataFrame, guarded: bool = False
     updates = updates.withColumn("_at", event_time(F.col("event_time"))) if guarded else updates
     fields = {"quantity_on_hand": "quantity_on_hand", "last_updated": "event_time", "supplier_id": "supplier_id"}
     if not guarded:
-        return merge(target, updates, ["store_id", "product_id"], fields, source_is_unique=True)
+        return merge(target, updates, ["store_id", "product_id"], fields, source_is_unique=True, target_is_unique=True)
     timed = target.withColumn("_at", event_time(F.col("last_updated")))
     merged = merge(
-        timed, updates, ["store_id", "product_id"], {**fields, "_at": "_at"}, newer=("_at", "_at"), source_is_unique=True
+        timed, updates, ["store_id", "product_id"], {**fields, "_at": "_at"}, newer=("_at", "_at"), source_is_unique=True,
+        target_is_unique=True,
     )
     return merged.drop("_at")
 
@@ -46,7 +47,7 @@ def merge_inventory(target: DataFrame, updates: DataFrame, guarded: bool = False
 def merge_customers(target: DataFrame, updates: DataFrame) -> DataFrame:
     names = ["first_name", "last_name", "email", "phone", "loyalty_tier"]
     fields = {**{n: n for n in names}, "last_updated_time": "event_time"}
-    return merge(target, updates, ["customer_id"], fields, source_is_unique=True)
+    return merge(target, updates, ["customer_id"], fields, source_is_unique=True, target_is_unique=True)
 
 
 def sales_with_stock(sales: DataFrame, inventory: DataFrame) -> DataFrame:

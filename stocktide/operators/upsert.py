@@ -1,9 +1,9 @@
 """Merge, update and delete as plain joins and projections.
 
-A merge is a left join (changed and kept target rows) plus an anti join (new rows), not
-one full outer join: the source is normally the small side and can then be broadcast
-when its size allows, and adaptive execution can split a hot target key, which it cannot
-do for a full outer join.
+A target with one row per key is merged by one full outer join, which computes both sides
+once. Any other target is merged by a left join (changed and kept target rows) plus an
+anti join (new rows): adaptive execution can split a hot target key there, which it cannot
+do for a full outer join, and a small source can be broadcast. Both give the same rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_HIT = "_hit"
+_HIT, _MINE = "_hit", "_mine"
 
 
 def single_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,37 +71,39 @@ def merge(
     insert: dict[str, str] | None = None,
     newer: tuple[str, str] | None = None,
     source_is_unique: bool = False,
+    target_is_unique: bool = False,
 ) -> DataFrame:
     """Upsert ``source`` into ``target`` on equal keys.
 
     ``update`` and ``insert`` map target columns to source columns. ``newer`` names a
     (target, source) pair of columns; a match is then applied only if the source value is
-    greater, so a late source row cannot overwrite a newer state.
+    greater, so a late source row cannot overwrite a newer state. ``target_is_unique`` says that no key has
+    many target rows; it chooses the plan and never changes the result.
     """
     source = without_null_keys(source, keys) if source_is_unique else single_row_per_key(source, keys)
     insert = insert if insert is not None else {**{k: k for k in keys}, **update}
-    side = _prefixed(source)
-    joined = target.join(side, _matches(target, side, keys), "left")
+    side, kinds = _prefixed(source), dict(target.dtypes)
+    mine = target.withColumn(_MINE, F.lit(True))
+    joined = mine.join(side, _matches(mine, side, keys), "full_outer" if target_is_unique else "left")
     apply = F.col(_HIT).isNotNull()
     if newer:
-        mine, theirs = newer
-        apply = apply & (F.col(mine).isNull() | (F.col(f"_s_{theirs}") > F.col(mine)))
-    kinds = dict(target.dtypes)
-    kept = joined.select(
-        *[
-            F.when(apply, F.col(f"_s_{update[c]}").cast(kinds[c])).otherwise(F.col(c)).alias(c)
-            if c in update
-            else F.col(c)
-            for c in target.columns
-        ]
-    )
-    fresh = not_matched(source, target, keys).select(
-        *[
-            (F.col(insert[c]) if c in insert else F.lit(None)).cast(kinds[c]).alias(c)
-            for c in target.columns
-        ]
-    )
-    return kept.unionByName(fresh)
+        own, theirs = newer
+        apply = apply & (F.col(own).isNull() | (F.col(f"_s_{theirs}") > F.col(own)))
+
+    def value(column: str, given: dict[str, str], prefix: str) -> Column:
+        found = F.col(f"{prefix}{given[column]}") if column in given else F.lit(None)
+        return found.cast(kinds[column])
+
+    merged = joined.select(*[
+        F.when(F.col(_MINE).isNull(), value(c, insert, "_s_"))
+        .when(apply if c in update else F.lit(False), value(c, update, "_s_"))
+        .otherwise(F.col(c)).alias(c)
+        for c in target.columns
+    ])
+    if target_is_unique:
+        return merged
+    fresh = not_matched(source, target, keys).select(*[value(c, insert, "").alias(c) for c in target.columns])
+    return merged.unionByName(fresh)
 
 
 def merge_sql(spark, target: str, source: str, keys: list[str], update: dict[str, str], insert: dict[str, str]) -> None:

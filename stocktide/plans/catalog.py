@@ -737,6 +737,16 @@ def _topic(spark, messages: DataFrame, label: str) -> str:
     return path
 
 
+def _replayed(spark, d) -> DataFrame:
+    """Readings as a stream of ordered micro-batches, one file each."""
+    dealt, path = scratch_path(spark, "dealt"), scratch_path(spark, "arrivals")
+    rows = S.replayed(spark, d)
+    rows.repartition("batch").write.partitionBy("batch").parquet(dealt)
+    for batch in range(S.REPLAY_BATCHES):
+        spark.read.schema(rows.schema).parquet(dealt).where(F.col("batch") == batch).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _readings(spark, d) -> DataFrame:
     topic = _topic(spark, S.telemetry_messages(spark, d), "topic")
     return V.valid(V.tag_readings(R.read_messages(spark, topic)))
@@ -804,6 +814,24 @@ def stream_window_updates(spark, d):
     return _utc(state.newest_updates(spark, path), "window_start", "window_end")
 
 
+@query
+def stream_window_panes(spark, d):
+    """Windows fired by the watermark and fired again by late rows; rows beyond the allowance are gone."""
+    path = scratch_path(spark, "panes")
+    ingest.drained(state.window_panes(_replayed(spark, d), path, f"{path}-checkpoint", once=True))
+    panes = spark.read.parquet(path).withColumnRenamed("_batch", "batch").withColumn("batch", F.col("batch").cast("int"))
+    return _utc(panes, "window_start", "window_end")
+
+
+@query
+def stream_late_tags(spark, d):
+    """Late rows of a stream in several batches, flagged as in one."""
+    path = scratch_path(spark, "tags")
+    arrival = ["arrival", "event_id"]
+    ingest.drained(state.tag_late(_replayed(spark, d), path, f"{path}-checkpoint", "device_id", arrival, once=True))
+    return spark.read.parquet(path).select("event_id", "device_id", "arrival", "is_late")
+
+
 @query
 def stream_sessions(spark, d):
     """Sessions that the watermark has closed after the replay."""
@@ -831,11 +859,11 @@ def stream_dedup(spark, d):
 def stream_current_inventory(spark, d):
     """Current stock from the inventory stream."""
     topic = _topic(spark, S.inventory_messages(spark, d), "topic")
-    events = V.valid(V.tag_inventory(R.read_messages(spark, topic)))
+    events = V.valid(V.tag_inventory(R.read_messages(spark, topic, files_per_batch=2)))
     newest = [F.try_to_timestamp("event_time")]
     path = scratch_path(spark, "stock")
-    ingest.drained(state.keep_current(events, KEYS, newest, path, f"{path}-checkpoint", once=True))
-    return state.current_rows(spark, path, KEYS, newest)
+    ingest.drained(state.keep_current(events, KEYS, newest, path, f"{path}-checkpoint", once=True, width=2))
+    return state.current_rows(spark, path, KEYS, newest, width=2)
 
 
 @query

@@ -409,6 +409,28 @@ SLIDES = f"""WITH {TELEMETRY}, slides AS (
     SELECT device_id, window_start, window_start + INTERVAL '1 hour' AS window_end, COUNT(*) AS reading_count,
     {mean('temperature')} AS avg_temperature FROM slides GROUP BY 1, 2, 3"""
 
+REPLAYED = f"""{TELEMETRY}, moved AS (
+    SELECT * EXCLUDE (ts), TIMESTAMP '2024-01-01' + to_seconds(2 * event_id) AS ts,
+           event_id + (event_id * 7919) % 200
+           + CASE WHEN event_id % 50 = 7 THEN (SELECT MAX(event_id) // 2 FROM events) ELSE 0 END AS arrival FROM telemetry),
+    dealt AS (SELECT *, CAST(arrival * 6 // (SELECT MAX(arrival) + 1 FROM moved) AS INTEGER) AS batch FROM moved)"""
+
+#: ``seen`` is the watermark a batch fires by (newest time before it). Spark drops rows by that of the batch before.
+PANES = f"""WITH {REPLAYED},
+    rows_ AS (SELECT *, time_bucket(INTERVAL '60 seconds', ts) AS window_start,
+              time_bucket(INTERVAL '60 seconds', ts) + INTERVAL '60 seconds' AS window_end FROM dealt),
+    peaks AS (SELECT batch, MAX(MAX(ts)) OVER (ORDER BY batch) AS newest FROM dealt GROUP BY batch),
+    marks AS (SELECT batch, newest, lag(newest) OVER (ORDER BY batch) AS seen, lag(newest, 2) OVER (ORDER BY batch) AS drops FROM peaks),
+    taken AS (SELECT r.* FROM rows_ r JOIN marks m ON m.batch = r.batch
+              WHERE m.drops IS NULL OR r.window_end + INTERVAL '120 seconds' > m.drops),
+    fired AS (SELECT w.*, m.batch, CASE WHEN m.seen IS NULL OR w.window_end > m.seen THEN 'ON_TIME' ELSE 'LATE' END AS pane
+              FROM (SELECT DISTINCT device_id, window_start, window_end FROM taken) w JOIN marks m ON w.window_end <= m.newest)
+    SELECT f.device_id, f.window_start, f.window_end, f.batch, f.pane, {mean_2dp('temperature')} AS avg_temperature,
+           CASE WHEN COUNT(humidity) = 0 THEN 0.0 ELSE {mean_2dp('humidity')} END AS avg_humidity,
+           COUNT(*) AS reading_count, COUNT(*) FILTER (WHERE status = 'ERROR') AS error_count
+    FROM fired f JOIN taken t ON t.device_id = f.device_id AND t.window_start = f.window_start AND t.batch <= f.batch
+    GROUP BY 1, 2, 3, 4, 5 HAVING COUNT(temperature) > 0 AND (f.pane = 'ON_TIME' OR COUNT(*) FILTER (WHERE t.batch = f.batch) > 0)"""
+
 HASH = "CAST('0x' || substring(md5(CAST({} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 PERFORMANCE = SALES + f""", {INVENTORY}, stock AS ({stock()}), joined AS (
@@ -619,6 +641,10 @@ def statements() -> dict[str, str]:
         "stream_three_sources": _three_sources(),
         "stream_closed_windows": READINGS + f" SELECT * FROM ({windows('readings', '1 hour')}) WHERE true{CLOSED}",
         "stream_window_updates": READINGS + " " + windows("readings", "1 hour"),
+        "stream_window_panes": PANES,
+        "stream_late_tags": f"""WITH {REPLAYED}, seen AS (SELECT *, MAX(ts) OVER (PARTITION BY device_id
+            ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS peak FROM dealt)
+            SELECT event_id, device_id, arrival, COALESCE(ts < peak - INTERVAL '120 seconds', false) AS is_late FROM seen""",
         "stream_sessions": READINGS + f""", {session_rows('readings', '30 minutes')}
             SELECT device_id, window_start, window_end, reading_count, avg_temperature FROM sessions WHERE true{CLOSED}""",
         "stream_dedup": fields(ORDER_MESSAGES, *ORDER_FIELDS)

@@ -39,6 +39,22 @@ def telemetry_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry(spark, sf_dir).withColumn("arrival", moved)
 
 
+REPLAY_BATCHES = 6
+
+
+def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings two seconds apart, dealt to batches by arrival: most are up to 400 seconds
+    out of order, one in fifty comes half the table late."""
+    half = (table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0) // 2
+    straggles = F.when(F.col("event_id") % 50 == 7, F.lit(half)).otherwise(F.lit(0))
+    rows = telemetry_arrivals(spark, sf_dir).withColumns({
+        "ts": F.timestamp_seconds(F.lit(1_704_067_200) + F.col("event_id") * 2),
+        "arrival": F.col("arrival") + straggles,
+    })
+    last = rows.agg(F.max("arrival")).first()[0] or 0
+    return rows.withColumn("batch", F.expr(f"cast(arrival * {REPLAY_BATCHES} div {last + 1} as int)"))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str, spread_out: bool = False, customers: bool = True) -> DataFrame:
     """Order lines; the customer needs a join, which ``customers=False`` leaves out."""
     items = scan(spark, sf_dir, "lineitem", spread_out)

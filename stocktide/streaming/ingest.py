@@ -55,6 +55,28 @@ def write_batch(df: DataFrame, path: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(batch_folder(path, batch))
 
 
+class Carried:
+    """A small table that every batch hands to the next one.
+
+    Two folders are written in turn, so a batch that is delivered again still finds what its
+    predecessor left, and there are never more than two of them.
+    """
+
+    def __init__(self, path: str, schema: str):
+        self.path, self.schema = path, schema
+
+    def _folder(self, batch: int) -> str:
+        return f"{self.path}/turn={batch % 2}"
+
+    def before(self, spark: SparkSession, batch: int) -> DataFrame:
+        if batch == 0:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(self._folder(batch - 1))
+
+    def after(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(self._folder(batch))
+
+
 def split_stream(
     tagged: DataFrame, valid_path: str, rejected_path: str, checkpoint: str, once: bool = False,
     every: str = C.COMMIT_INTERVAL,

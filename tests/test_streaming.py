@@ -136,13 +136,76 @@ def test_current_rows_equal_the_batch_result(spark, tmp_path):
     assert got == [("a", 1.0), ("b", 3.0)]
 
 
-def test_late_rows_are_tagged_against_earlier_batches(spark, tmp_path):
-    topic, out = tmp_path / "topic", f"{tmp_path}/out"
-    publish(spark, topic, [[reading("a", 500), reading("a", 1)], [reading("a", 379), reading("a", 380)], [reading("a", 900)]])
-    I.drained(S.tag_late(readings(spark, topic), out, f"{tmp_path}/cp", once=True))
-    got = {r["ts"]: r["is_late"] for r in spark.read.parquet(out).collect()}
-    late = [int((ts - T0).total_seconds()) for ts, flag in got.items() if flag]
-    assert late == [379] and len(got) == 5
+TIMED = "device_id string, arrival int, ts timestamp, temperature double, humidity double, status string"
+
+
+def _arrivals(spark, folder, batches):
+    """A stream with one micro-batch for each list of (device, arrival, seconds)."""
+    for batch in batches:
+        made = [(d, n, T0 + dt.timedelta(seconds=s), 20.0 + n, 40.0, "OK") for d, n, s in batch]
+        spark.createDataFrame(made, TIMED).coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(TIMED).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_late_rows_are_tagged_over_batches(spark, tmp_path):
+    day = 86_400
+    batches = [
+        [("a", 1, 500), ("a", 2, 1), (None, 3, 9_000)], [("a", 4, 379), ("a", 5, 380), ("b", 6, 100), (None, 7, 1)],
+        [("a", 8, 40 * day), ("a", 9, 30)], [("b", 10, -900), ("a", 11, 40 * day - 121), ("a", 12, 40 * day - 120)],
+    ]
+    out = f"{tmp_path}/out"
+    I.drained(S.tag_late(_arrivals(spark, tmp_path / "in", batches), out, f"{tmp_path}/cp", "device_id", ["arrival"], once=True))
+    got = spark.read.parquet(out).collect()
+    # 10 is not: its device was forgotten after a month without readings
+    assert sorted(r["arrival"] for r in got if r["is_late"]) == [2, 4, 9, 11] and len(got) == 12
+    assert [r["device_id"] for r in spark.read.parquet(f"{out}-peaks/turn=1").collect()] == ["a"]
+    assert sorted(p for p in os.listdir(f"{out}-peaks") if not p.startswith(".")) == ["turn=0", "turn=1"]
+
+
+def test_windows_fire_again_for_late_rows(spark, tmp_path):
+    batches = [
+        [("a", 0, 10), ("b", 1, 20)],
+        [("a", 2, 61)],  # both windows of the first minute fire
+        [("a", 3, 30), ("b", 4, 400)],  # late within the allowance: fires again; the second minute fires
+        [("a", 5, 40)],  # Spark drops by the mark of the batch before, so this still counts
+        [("a", 6, 50), ("b", 7, 410)],  # gone
+    ]
+    out = f"{tmp_path}/out"
+    I.drained(S.window_panes(_arrivals(spark, tmp_path / "in", batches), out, f"{tmp_path}/cp", once=True))
+    panes = [
+        (r["_batch"], r["device_id"], int((r["window_start"] - T0).total_seconds()), r["pane"], r["reading_count"])
+        for r in spark.read.parquet(out).collect()
+    ]
+    assert sorted(panes) == [
+        (1, "a", 0, "ON_TIME", 1), (1, "b", 0, "ON_TIME", 1), (2, "a", 0, "LATE", 2), (2, "a", 60, "ON_TIME", 1), (3, "a", 0, "LATE", 3),
+    ]
+    assert sorted(p for p in os.listdir(f"{out}-waiting") if not p.startswith(".")) == ["turn=0", "turn=1"]
+
+
+def test_folded_log_needs_few_runs():
+    runs = S.Runs("log", lambda rows: rows, width=8)
+    for batches in (1, 7, 8, 9, 64, 200, 511, 512, 5000):
+        folders = runs.newest(batches)
+        covered = []
+        for folder in folders:
+            level, run = (int("".join(c for c in part if c.isdigit())) for part in folder.split("/")[1:])
+            covered += range(run * 8**level, (run + 1) * 8**level)
+        assert sorted(covered) == list(range(batches)) and len(folders) <= 7 * 5
+    assert len(runs.newest(200)) == 4
+
+
+def test_folded_log_keeps_the_newest_rows(spark, tmp_path):
+    runs = S.current_runs(str(tmp_path), ["k"], [F.col("v")], width=3)
+    newest = {}
+    for number in range(20):
+        rows = [(number * 7 % 5, number), (99, -number)]
+        for _ in range(2 if number in (8, 9) else 1):  # delivered twice
+            runs.append(spark.createDataFrame(rows, "k int, v int").coalesce(1), number)
+        for k, v in rows:
+            newest[k] = max(v, newest.get(k, v))
+    found = runs.read(spark)
+    assert {r["k"]: r["v"] for r in found.collect()} == newest
+    assert len(runs.newest(20)) == 4 and len(os.listdir(tmp_path / "newest")) == 3
 
 
 def test_late_rows_land_on_their_own_day(spark, tmp_path):

@@ -94,6 +94,25 @@ def test_merge_keeps_a_hot_target_key_out_of_full_joins(spark):
     assert "FullOuter" not in plan._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("newer", [None, ("t", "t")])
+def test_both_plans_of_a_merge_agree(spark, newer):
+    target = table(spark, [("a", 1, 1), ("b", 2, 5), ("c", None, 1), (None, 9, 1), (None, 8, 1), ("d", 4, 1), ("d", 5, 3)])
+    source = table(spark, [("a", 10, 2), ("b", 20, 4), ("c", 30, None), ("d", 40, 2), ("e", None, 7)])
+    by_name = [D.merge(target, source, ["k"], FIELDS, newer=newer, target_is_unique=unique) for unique in (False, True)]
+    assert sorted(map(repr, by_name[0].collect())) == sorted(map(repr, by_name[1].collect()))
+    renamed = [D.merge(target, source, ["k"], {"v": "t"}, {"k": "k", "v": "v"}, target_is_unique=unique) for unique in (False, True)]
+    assert sorted(map(repr, renamed[0].collect())) == sorted(map(repr, renamed[1].collect()))
+
+
+@pytest.mark.parametrize("name", ["merge_inventory", "merge_guarded", "merge_customer"])
+def test_merge_reads_each_side_once(spark, sf_dir, name):
+    from stocktide.plans import catalog
+
+    plan = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    big = "o_orderkey" if name == "merge_customer" else "l_orderkey"
+    assert sum(1 for line in plan.splitlines() if "FileScan" in line and big in line) == 2
+
+
 def test_inventory_merge_fails_on_a_null_key(spark):
     from pyspark.errors import PySparkException
 

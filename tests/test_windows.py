@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stocktide.operators import windows as W
+from stocktide.operators.ordered import in_ranges
 
 SCHEMA = "device_id string, ts timestamp, temperature double, humidity double, status string"
 T0 = dt.datetime(2026, 1, 1)
@@ -58,6 +59,27 @@ def test_sessions_equal_brute_force(spark, gap):
     assert sorted(tuple(r) for r in plain.collect()) == got
 
 
+def test_sessions_of_one_device_over_years(spark):
+    """The device's time is cut over many tasks, and sessions that cross a cut stay whole."""
+    rng = random.Random(1)
+    moments, now = [], 0
+    for _ in range(6000):
+        now += rng.choice([10, 50, 60, 61, 40_000])
+        moments.append(now)
+    rows = [("hot", at(s)) for s in moments] + [("cold", at(5)), (None, at(7)), (None, at(9))]
+    df = spark.createDataFrame([(k, t, 1.0, 1.0, "OK") for k, t in rows], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = W.sessions(df, 60).select("device_id", "window_start", "window_end", "reading_count").collect()
+        spans = df.groupBy("device_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("_span")).count()
+        parts = [r["_part"] for r in in_ranges(spans, F.col("device_id"), F.col("_span")).where("device_id = 'hot'").select("_part").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(tuple(r) for r in got if r[0]) == sessions_by_hand([r for r in rows if r[0]], 60)
+    assert [tuple(r) for r in got if r[0] is None] == [(None, at(7), at(69), 2)]
+    assert max(parts.count(p) for p in set(parts)) < len(parts) / 4
+
+
 def test_gap_of_exactly_the_limit_continues(spark):
     df = spark.createDataFrame([("a", at(0), 1.0, 1.0, "OK"), ("a", at(60), 1.0, 1.0, "OK")], SCHEMA)
     assert W.sessions(df, 60).count() == 1
