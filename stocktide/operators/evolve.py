@@ -1,114 +1,47 @@
-"""Columns that change over time without rewriting files.
+"""Columns that change over time.
 
-Files store columns under stable names (``f1``, ``f2`` ...); ``Columns`` maps them to the
-current names. A renamed column keeps its stable name, a dropped one is no longer read,
-and a column added later under an old name gets a new stable name, so that old values do
-not come back. Files written before a column existed read null for it.
+Files of different ages are read under one declared schema, so a column that a file lacks reads null
+and nothing is inferred. A column is renamed where the table is read, and dropped by rewriting the files, so
+that a column added later under its name starts empty. Catalog tables change by statements.
 """
 
 from __future__ import annotations
 
-import json
-from dataclasses import asdict, dataclass, field, replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stocktide.sources.writers import balanced
 
-@dataclass(frozen=True)
-class Entry:
-    stored: str
-    name: str
-    kind: str
-    comment: str = ""
-
-
-@dataclass(frozen=True)
-class Columns:
-    entries: tuple[Entry, ...] = field(default_factory=tuple)
-    used: int = 0
-
-    @staticmethod
-    def of(df: DataFrame) -> Columns:
-        columns = Columns()
-        for name, kind in df.dtypes:
-            columns = columns.add(name, kind)
-        return columns
-
-    @property
-    def names(self) -> list[str]:
-        return [e.name for e in self.entries]
-
-    def _entry(self, name: str) -> Entry:
-        for entry in self.entries:
-            if entry.name == name:
-                return entry
-        raise KeyError(f"there is no column {name}")
-
-    def _with(self, old: Entry, new: Entry) -> Columns:
-        return replace(self, entries=tuple(new if e is old else e for e in self.entries))
-
-    def add(self, name: str, kind: str, comment: str = "") -> Columns:
-        if name in self.names:
-            raise KeyError(f"column {name} exists")
-        entry = Entry(f"f{self.used + 1}", name, kind, comment)
-        return Columns((*self.entries, entry), self.used + 1)
-
-    def rename(self, name: str, new: str) -> Columns:
-        if new in self.names:
-            raise KeyError(f"column {new} exists")
-        entry = self._entry(name)
-        return self._with(entry, replace(entry, name=new))
 
-    def describe(self, name: str, comment: str) -> Columns:
-        entry = self._entry(name)
-        return self._with(entry, replace(entry, comment=comment))
+def with_column(schema: T.StructType, name: str, kind: str, comment: str = "") -> T.StructType:
+    """A declared schema with a nullable column at the end."""
+    if name in schema.names:
+        raise KeyError(f"column {name} exists")
+    type_ = T.StructType.fromDDL(f"c {kind}")["c"].dataType
+    return T.StructType([*schema, T.StructField(name, type_, True, {"comment": comment} if comment else {})])
 
-    def drop(self, name: str) -> Columns:
-        gone = self._entry(name)
-        return replace(self, entries=tuple(e for e in self.entries if e is not gone))
 
-    def stored_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(e.stored, _type(e.kind), True) for e in self.entries])
+def read_declared(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """Files of any age under one schema; only its columns are read."""
+    return spark.read.schema(schema).parquet(*paths)
 
-    def to_json(self) -> str:
-        return json.dumps(asdict(self))
 
-    @staticmethod
-    def from_json(text: str) -> Columns:
-        read = json.loads(text)
-        return Columns(tuple(Entry(**e) for e in read["entries"]), read["used"])
-
-
-def _type(kind: str) -> T.DataType:
-    return T.StructType.fromDDL(f"c {kind}")["c"].dataType
-
-
-def stored_form(df: DataFrame, columns: Columns) -> DataFrame:
-    """Rows under stable names; columns that ``df`` lacks are written as null."""
-    have = set(df.columns)
+def renamed(df: DataFrame, name: str, new: str, comment: str = "") -> DataFrame:
+    if name not in df.columns or new in df.columns:
+        raise KeyError(f"column {name} cannot become {new}")
     return df.select(
-        *[
-            (F.col(e.name) if e.name in have else F.lit(None)).cast(e.kind).alias(e.stored)
-            for e in columns.entries
-        ]
+        *[F.col(c).alias(new, metadata={"comment": comment}) if c == name else F.col(c) for c in df.columns]
     )
 
 
-def read_evolved(spark: SparkSession, path: str, columns: Columns, partitions: str = "") -> DataFrame:
-    """All files under the current columns. The schema is given, so only these columns are
-    read and nothing is inferred."""
-    schema = columns.stored_schema()
-    if partitions:
-        schema = T.StructType([*schema, *T.StructType.fromDDL(partitions)])
-    return named_form(spark.read.schema(schema).parquet(path), columns)
-
-
-def named_form(df: DataFrame, columns: Columns) -> DataFrame:
-    return df.select(
-        *[F.col(e.stored).alias(e.name, metadata={"comment": e.comment}) for e in columns.entries]
-    )
+def rewritten_without(spark: SparkSession, paths: list[str], schema: T.StructType, target: str, name: str) -> T.StructType:
+    """The files of a table written anew without a column, and their schema."""
+    kept = T.StructType([f for f in schema if f.name != name])
+    if len(kept) == len(schema):
+        raise KeyError(f"there is no column {name}")
+    balanced(read_declared(spark, paths, kept)).write.mode("overwrite").parquet(target)
+    return kept
 
 
 def add_table_column(spark: SparkSession, table: str, name: str, kind: str, comment: str = "") -> None:

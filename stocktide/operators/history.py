@@ -7,10 +7,8 @@ columns plus
 * ``_op``       ``upsert`` or ``delete``,
 * ``_seq``      order of changes of one key inside a version.
 
-A commit table holds one row per version (``version, parent, committed_at, operation,
-upserts, deletes``). A version without a row there does not exist for readers, so a
-write that failed half-way stays invisible. One writer at a time is assumed; a catalog
-with its own time travel replaces this module where there is one.
+Times of versions come from a table of commits (``version, committed_at, ...``), which a
+log that carries its times can be summed up to (``commit_summary``).
 
 States are partial aggregates over the log (see ``latest``), so a key with very many
 changes is reduced before the shuffle.
@@ -20,20 +18,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktide import contracts as C
 from stocktide.operators.latest import latest_per_key
 from stocktide.operators.ordered import running_total
-from stocktide.sources.writers import balanced
+from stocktide.sources.writers import replace_days
 
 UPSERT, DELETE = "upsert", "delete"
 _META = ["_version", "_op", "_seq"]
-COMMIT_SCHEMA = (
-    "version bigint, parent bigint, committed_at timestamp, operation string, upserts bigint, "
-    "deletes bigint, batch_id bigint"
-)
 
 
 # -- states ------------------------------------------------------------------
@@ -174,68 +170,58 @@ def keyed_rows(df: DataFrame, version: int, name: str = "_key") -> DataFrame:
     )
 
 
-# -- the stored form -----------------------------------------------------------
+# -- a log in folders ------------------------------------------------------------
 
 
-def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(changes, commits); changes of versions without a commit row are left out."""
-    commits = spark.read.schema(COMMIT_SCHEMA).parquet(f"{path}/commits")
-    changes = spark.read.parquet(f"{path}/changes").withColumn("_version", F.col("_version").cast("bigint"))
-    known = commits.select(F.col("version").alias("_version"))
-    return changes.join(known, "_version", "left_semi").select(*changes.columns), commits
+def write_changes(changes: DataFrame, path: str) -> None:
+    """Changes into the folders of their versions. A rerun replaces exactly the versions it has."""
+    replace_days(changes, f"{path}/changes", ["_version"])
 
 
-def commit(
-    spark: SparkSession,
-    path: str,
-    changes: DataFrame,
-    operation: str,
-    committed_at: datetime | str,
-    batch_id: int | None = None,
-) -> int:
-    """Write changes as the next version, then its commit row. Returns the version.
+def read_changes(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{path}/changes")
 
-    A streaming retry is recognised by ``batch_id`` and not written twice.
-    """
-    commits_path = f"{path}/commits"
+
+def fold_base(spark: SparkSession, path: str, schema: str | T.StructType, keys: list[str], version: int) -> int:
+    """Write the state at a version as a base, folded from the base before it and the changes since, and
+    return the number of log rows that no reader of that or a later version needs any more."""
+    base = stored_version(spark, path, schema, keys, version).withColumn("_version", F.lit(version).cast("bigint"))
+    replace_days(base, f"{path}/base", ["_version"])
+    return read_changes(spark, path, schema).where(F.col("_version") <= version).count()
+
+
+def newest_base(spark: SparkSession, path: str, version: int) -> int:
+    """The newest folded version up to ``version``, 0 where there is none. Reads folder names only."""
     try:
-        commits = spark.read.schema(COMMIT_SCHEMA).parquet(commits_path)
-        if batch_id is not None:
-            done = commits.where(F.col("batch_id") == batch_id).agg(F.max("version").alias("v")).first()["v"]
-            if done is not None:
-                return done
-        parent = commits.agg(F.max("version").alias("v")).first()["v"]
-    except Exception as error:  # the folder does not exist before the first commit
-        if "PATH_NOT_FOUND" not in str(error):
+        bases = spark.read.schema("_version bigint").option("recursiveFileLookup", False).parquet(f"{path}/base")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        parent = None
-    version = 1 if parent is None else parent + 1
-    if "_seq" not in changes.columns:
-        changes = changes.withColumn("_seq", F.lit(0).cast("bigint"))
-    folder = f"{path}/changes/_version={version}"
-    balanced(changes.drop("_version")).write.mode("overwrite").parquet(folder)
-    counts = spark.read.parquet(folder).agg(
-        F.count_if(F.col("_op") == UPSERT).alias("u"), F.count_if(F.col("_op") == DELETE).alias("d")
-    )
-    row = counts.select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(parent).cast("bigint").alias("parent"),
-        F.lit(committed_at).cast("timestamp").alias("committed_at"),
-        F.lit(operation).alias("operation"),
-        F.col("u").alias("upserts"),
-        F.col("d").alias("deletes"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-    row.write.mode("append").parquet(commits_path)
-    return version
+        return 0
+    return bases.where(F.col("_version") <= version).agg(F.max("_version")).first()[0] or 0
+
+
+def stored_version(spark: SparkSession, path: str, schema: str | T.StructType, keys: list[str], version: int) -> DataFrame:
+    """State at a version from the newest base up to it and the folders after that base; no others are read."""
+    changes = read_changes(spark, path, schema)
+    base = newest_base(spark, path, version)
+    later = changes.where(F.col("_version").between(base + 1, version))
+    if base:
+        kinds = dict(changes.dtypes)
+        data = T.StructType([f for f in changes.schema if f.name not in ("_op", "_seq")])
+        folded = spark.read.schema(data).parquet(f"{path}/base").where(F.col("_version") == base)
+        folded = folded.withColumns({"_op": F.lit(UPSERT), "_seq": F.lit(0).cast(kinds["_seq"])})
+        later = later.unionByName(folded)
+    newest = latest_per_key(later, keys, [F.col("_version"), F.col("_seq")])
+    return newest.where(F.col("_op") != DELETE).select(*_data(changes))
 
 
 # -- listings ------------------------------------------------------------------
 
 
-def commit_summary(changes: DataFrame, ts: str) -> DataFrame:
-    """Commit rows derived from a log that carries its times."""
-    return changes.groupBy(F.col("_version").alias("version")).agg(
+def commit_summary(changes: DataFrame, ts: str, *same: str) -> DataFrame:
+    """Commit rows derived from a log that carries its times; columns ``same`` have one value per version."""
+    return changes.groupBy(F.col("_version").alias("version"), *same).agg(
         F.max(ts).alias("committed_at"),
         F.count_if(F.col("_op") == UPSERT).alias("upserts"),
         F.count_if(F.col("_op") == DELETE).alias("deletes"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,46 +13,19 @@ from stocktide.functions.times import stable_bucket
 from stocktide.sources.writers import balanced
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Partition fields of one generation of files: columns as they are, and buckets."""
-
-    number: int = 0
-    fields: tuple[str, ...] = ()
-    buckets: tuple[tuple[str, int], ...] = ()
-
-    def add_field(self, column: str) -> Layout:
-        return Layout(self.number + 1, (*self.fields, column), self.buckets)
-
-    def add_bucket(self, column: str, buckets: int = C.BUCKETS) -> Layout:
-        return Layout(self.number + 1, self.fields, (*self.buckets, (column, buckets)))
-
-    def drop_field(self, column: str) -> Layout:
-        return Layout(self.number + 1, tuple(f for f in self.fields if f != column), self.buckets)
-
-    def folders(self) -> dict[str, Column]:
-        """Partition columns; copies of data columns, so the files keep every column."""
-        named = {f"_p_{f}": F.col(f) for f in self.fields}
-        return {**named, **{f"_b_{c}": stable_bucket(F.col(c), n) for c, n in self.buckets}}
+def write_by(df: DataFrame, path: str, **fields: Column) -> None:
+    """Rows in folders by copies of their partition fields, so the files keep every column."""
+    folders = {f"_by_{name}": value for name, value in fields.items()}
+    laid = balanced(df.withColumns(folders), *folders) if folders else df
+    writer = laid.write.mode("overwrite")
+    (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
 
-def write_layout(df: DataFrame, path: str, layout: Layout, mode: str = "append") -> None:
-    """Write rows under the current layout; files of earlier layouts are not touched."""
-    folders = layout.folders()
-    laid = balanced(df.withColumns(folders), *folders) if folders else df
-    writer = laid.write.mode(mode)
-    if folders:
-        writer = writer.partitionBy(*folders)
-    writer.parquet(f"{path}/layout={layout.number}")
-
-
-def read_layouts(spark: SparkSession, path: str, layouts: list[Layout]) -> DataFrame:
-    """All generations as one table."""
-    parts = [spark.read.parquet(f"{path}/layout={one.number}") for one in layouts]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part, allowMissingColumns=True)
-    return table.drop(*[c for c in table.columns if c.startswith(("_p_", "_b_"))])
+def read_together(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Folders written by different fields as one table; files of an older layout stay as they are."""
+    parts = [spark.read.parquet(path) for path in paths]
+    plain = [part.drop(*[c for c in part.columns if c.startswith("_by_")]) for part in parts]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), plain)
 
 
 def bucket_counts(df: DataFrame, column: str, buckets: int = C.BUCKETS) -> DataFrame:

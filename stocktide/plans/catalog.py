@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stocktide import contracts as C
 from stocktide.functions.numeric import mean, settled
-from stocktide.functions.times import ago, event_time, iso_text, spread_day, written_day
+from stocktide.functions.times import ago, event_time, iso_text, spread_day, stable_bucket, written_day
 from stocktide.operators import aggregates as A
 from stocktide.operators import basics as B
 from stocktide.operators import contract_check as K
@@ -109,12 +109,9 @@ def clustered_read(spark, d):
 @query
 def insert_append(spark, d):
     """Rows of daily device statistics appended to a table that lacks one of their columns."""
-    base = A.device_daily(S.telemetry(spark, d)).drop("avg_humidity")
-    literal = spark.createDataFrame(
-        [("sensor_001", "2026-06-10", 25.5, 60.2, 1440), ("sensor_002", "2026-06-10", 27.1, 55.8, 1380)],
-        "device_id string, date string, avg_temperature double, avg_humidity double, reading_count bigint",
-    )
-    return _settled(O.appended(base, literal), "avg_temperature")
+    daily = A.device_daily(S.telemetry(spark, d))
+    base, more = daily.where("date < '2024-01-20'").drop("avg_humidity"), daily.where("date >= '2024-01-20'")
+    return _settled(O.appended(base, more), "avg_temperature", "avg_humidity")
 
 
 @query
@@ -495,7 +492,7 @@ def merge_customer(spark, d):
 
 @query
 def update_where(spark, d):
-    return upsert.update_where(S.telemetry(spark, d), F.col("device_id") == "3", {"humidity": F.lit(62.5)})
+    return upsert.update_where(S.telemetry(spark, d), F.col("device_id") == "3", {"humidity": F.col("humidity") + 0.5})
 
 
 @query
@@ -574,32 +571,67 @@ def rollback_state(spark, d):
     return H.as_of_version(changes.unionByName(back), KEYS, 11)
 
 
+def _inventory_log(spark, d):
+    """The change log in folders, folded up to its fifth version."""
+    path, changes = scratch_path(spark, "log"), S.inventory_changes(spark, d)
+    H.write_changes(changes, path)
+    return path, changes.schema, H.fold_base(spark, path, changes.schema, KEYS, 5)
+
+
 @query
-def stored_history(spark, d):
-    """Insert, update and delete as stored versions, then the state before the delete."""
+def stored_version(spark, d):
+    """State at a version from a base and the two folders after it."""
+    path, schema, _ = _inventory_log(spark, d)
+    return H.stored_version(spark, path, schema, KEYS, 7)
+
+
+@query
+def expired_log(spark, d):
+    """What is left of the log once its first versions are folded: rows by version and kind, and rows folded."""
+    path, schema, folded = _inventory_log(spark, d)
+    changes = H.expire(H.read_changes(spark, path, schema), KEYS, 5)
+    counts = changes.groupBy(F.col("_version").alias("version"), F.col("_op").alias("op")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.withColumn("folded_rows", F.lit(folded).cast("bigint"))
+
+
+_STEPS = {
+    "update": lambda s: H.update_changes(s, F.col("device_id") == "3", {"humidity": F.col("humidity") + 0.5}),
+    "delete": lambda s: H.delete_changes(s, F.col("temperature") > 30.0),
+}
+
+
+def _telemetry_log(spark, d, hours: dict[str, int]):
+    """An insert, and some statements after it, as versions of a log in folders."""
     path = scratch_path(spark, "log")
-    rows = S.telemetry(spark, d).withColumn("_op", F.lit("upsert"))
-    H.commit(spark, path, rows, "insert", "2026-06-10 10:00:00")
-    for hour, make, name in (
-        ("11", lambda s: H.update_changes(s, F.col("device_id") == "3", {"humidity": F.lit(62.5)}), "update"),
-        ("12", lambda s: H.delete_changes(s, F.col("temperature") > 30.0), "delete"),
-    ):
-        changes, _ = H.read_log(spark, path)
-        H.commit(spark, path, make(H.current(changes, ["event_id"])), name, f"2026-06-10 {hour}:00:00")
-    changes, commits = H.read_log(spark, path)
-    return H.as_of_time(changes, commits, ["event_id"], "2026-06-10 11:30:00")
+    first = S.telemetry(spark, d).withColumns({
+        "_version": F.lit(1).cast("bigint"), "_op": F.lit("upsert"), "_seq": F.lit(0).cast("bigint"),
+        "committed_at": F.lit("2026-06-10 10:00:00").cast("timestamp"), "operation": F.lit("insert"),
+    })
+    H.write_changes(first, path)
+    for version, (name, hour) in enumerate(hours.items(), start=2):
+        state = H.stored_version(spark, path, first.schema, ["event_id"], version - 1)
+        made = _STEPS[name](state).withColumns({
+            "_version": F.lit(version).cast("bigint"), "_seq": F.lit(0).cast("bigint"),
+            "committed_at": F.lit(f"2026-06-10 {hour}:00:00").cast("timestamp"), "operation": F.lit(name),
+        })
+        H.write_changes(made.select(*first.columns), path)
+    return H.read_changes(spark, path, first.schema)
+
+
+@query
+def stored_history(spark, d):
+    """The state before the delete, by its time."""
+    log = _telemetry_log(spark, d, {"update": 11, "delete": 12})
+    commits = H.commit_summary(log, "committed_at")
+    return H.as_of_time(log, commits, ["event_id"], "2026-06-10 11:30:00").drop("committed_at", "operation")
 
 
 @query
 def stored_commits(spark, d):
-    """The commit table of an insert and a delete."""
-    path = scratch_path(spark, "log")
-    H.commit(spark, path, S.telemetry(spark, d).withColumn("_op", F.lit("upsert")), "insert", "2026-06-10 10:00:00")
-    changes, _ = H.read_log(spark, path)
-    gone = H.delete_changes(H.current(changes, ["event_id"]), F.col("temperature") > 30.0)
-    H.commit(spark, path, gone, "delete", "2026-06-10 12:00:00")
-    _, commits = H.read_log(spark, path)
-    return _local(commits.drop("batch_id"), "committed_at").withColumn("parent", F.col("parent").cast("double"))
+    """The versions of the log."""
+    commits = H.commit_summary(_telemetry_log(spark, d, {"delete": 12}), "committed_at", "operation")
+    parent = F.when(F.col("version") > 1, F.col("version") - 1).cast("double")
+    return _local(commits, "committed_at").withColumn("parent", parent)
 
 
 @query
@@ -615,51 +647,42 @@ def file_records(spark, d):
 
 
 def _evolved(spark, d):
-    """A stored table with old files, and new files written after a column was added."""
-    path = scratch_path(spark, "evolved")
+    """Old files, new files written after a column was added, and the schema since then."""
+    old, new = scratch_path(spark, "evolved-old"), scratch_path(spark, "evolved-new")
     rows = S.telemetry(spark, d)
-    columns = E.Columns.of(rows)
-    E.stored_form(rows.where(F.col("status") == "OK"), columns).write.mode("append").parquet(path)
-    columns = columns.add("operator_notes", "string", "Manual notes")
-    noted = rows.where(F.col("status") != "OK").withColumn("operator_notes", F.lit("checked"))
-    E.stored_form(noted, columns).write.mode("append").parquet(path)
-    return path, columns
+    schema = E.with_column(rows.schema, "remark", "string", "Set by hand")
+    rows.where(F.col("status") == "OK").write.parquet(old)
+    rows.where(F.col("status") != "OK").withColumn("remark", F.col("status")).write.parquet(new)
+    return [old, new], schema
 
 
 @query
 def evolve_add(spark, d):
-    return E.read_evolved(spark, *_evolved(spark, d))
+    return E.read_declared(spark, *_evolved(spark, d))
 
 
 @query
 def evolve_rename(spark, d):
-    path, columns = _evolved(spark, d)
-    return E.read_evolved(spark, path, columns.rename("operator_notes", "notes").describe("notes", "Updated"))
+    return E.renamed(E.read_declared(spark, *_evolved(spark, d)), "remark", "notes", "Updated")
 
 
 @query
 def evolve_drop(spark, d):
     """Dropped, then added again: the old values stay away."""
-    path, columns = _evolved(spark, d)
-    return E.read_evolved(spark, path, columns.drop("operator_notes").add("operator_notes", "string"))
+    paths, schema = _evolved(spark, d)
+    path = scratch_path(spark, "evolved-dropped")
+    kept = E.rewritten_without(spark, paths, schema, path, "remark")
+    return E.read_declared(spark, [path], E.with_column(kept, "remark", "string"))
 
 
 @query
 def layout_evolution(spark, d):
-    """Three generations of files under changing partition fields, read as one table."""
-    path = scratch_path(spark, "layouts")
-    rows = S.telemetry(spark, d)
-    plain = Y.Layout()
-    by_status = plain.add_field("status")
-    by_bucket = by_status.add_bucket("device_id").drop_field("status")
-    parts = {
-        plain: rows.where("temperature < 10"),
-        by_status: rows.where("temperature >= 10 and temperature < 30"),
-        by_bucket: rows.where("temperature >= 30 or temperature is null"),
-    }
-    for layout, part in parts.items():
-        Y.write_layout(part, path, layout)
-    return Y.read_layouts(spark, path, list(parts))
+    """Rows written without folders, by status and by bucket, read as one table."""
+    rows, root = S.telemetry(spark, d), scratch_path(spark, "layouts")
+    Y.write_by(rows.where("temperature < 10"), f"{root}/plain")
+    Y.write_by(rows.where("temperature >= 10 and temperature < 30"), f"{root}/status", status=F.col("status"))
+    Y.write_by(rows.where("temperature >= 30 or temperature is null"), f"{root}/bucket", bucket=stable_bucket(F.col("device_id"), C.BUCKETS))
+    return Y.read_together(spark, [f"{root}/{part}" for part in ("plain", "status", "bucket")])
 
 
 @query

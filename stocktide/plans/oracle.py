@@ -478,9 +478,7 @@ def statements() -> dict[str, str]:
         "clustered_read": t + """SELECT event_id, device_id, ts, temperature, status FROM telemetry
             WHERE CAST(ts AS DATE) = DATE '2024-01-10' AND device_id = '3'""",
         "insert_append": f"""WITH {TELEMETRY}, {DAILY} SELECT device_id, date, avg_temperature, reading_count,
-            CAST(NULL AS DOUBLE) AS avg_humidity FROM daily
-            UNION ALL SELECT 'sensor_001', '2026-06-10', CAST(25.5 AS DOUBLE), 1440, CAST(60.2 AS DOUBLE)
-            UNION ALL SELECT 'sensor_002', '2026-06-10', CAST(27.1 AS DOUBLE), 1380, CAST(55.8 AS DOUBLE)""",
+            CASE WHEN date >= '2024-01-20' THEN avg_humidity END AS avg_humidity FROM daily""",
         "table_append_mode": f"WITH {TELEMETRY}, {DAILY} SELECT * FROM daily UNION ALL SELECT * FROM daily",
         "days_replaced": f"""WITH {SALES} SELECT date, store_id, product_id, total_quantity,
             CASE WHEN date >= '1998-01-01' THEN CAST(0 AS DOUBLE) ELSE total_revenue END AS total_revenue,
@@ -583,7 +581,7 @@ def statements() -> dict[str, str]:
         + """, CASE WHEN s.customer_id IS NULL THEN t.event_time ELSE s.event_time END AS last_updated_time
             FROM t FULL OUTER JOIN s ON t.customer_id = s.customer_id""",
         "update_where": t + """SELECT event_id, device_id, ts, temperature,
-            CASE WHEN device_id = '3' THEN 62.5 ELSE humidity END AS humidity, status FROM telemetry""",
+            CASE WHEN device_id = '3' THEN humidity + 0.5 ELSE humidity END AS humidity, status FROM telemetry""",
         "delete_where": t + "SELECT * FROM telemetry WHERE NOT COALESCE(temperature > 30.0, false)",
         "snapshot_log": """WITH days AS (SELECT CAST(ts AS DATE) AS day, MAX(ts) AS committed_at, COUNT(*) AS added_rows
             FROM events GROUP BY 1), v AS (SELECT *, row_number() OVER (ORDER BY day) AS version FROM days)
@@ -606,8 +604,13 @@ def statements() -> dict[str, str]:
         "expire_keeps_state": f"WITH {CHANGES} {state('version <= 8')}",
         "expire_by_age": f"WITH {CHANGES} {state('true')}",
         "rollback_state": f"WITH {CHANGES} {state('version <= 7')}",
+        "stored_version": f"WITH {CHANGES} {state('version <= 7')}",
+        "expired_log": f"""WITH {CHANGES}, left_ AS (SELECT CAST(5 AS BIGINT) AS version, 'upsert' AS op FROM ({state('version <= 5')})
+            UNION ALL SELECT version, op FROM changes WHERE version > 5)
+            SELECT version, op, COUNT(*) AS rows, (SELECT COUNT(*) FROM changes WHERE version <= 5) AS folded_rows
+            FROM left_ GROUP BY 1, 2""",
         "stored_history": t + """SELECT event_id, device_id, ts, temperature,
-            CASE WHEN device_id = '3' THEN 62.5 ELSE humidity END AS humidity, status FROM telemetry""",
+            CASE WHEN device_id = '3' THEN humidity + 0.5 ELSE humidity END AS humidity, status FROM telemetry""",
         "stored_commits": t + """SELECT CAST(1 AS BIGINT) AS version, CAST(NULL AS DOUBLE) AS parent,
             TIMESTAMP '2026-06-10 10:00:00' AS committed_at, 'insert' AS operation, COUNT(*) AS upserts,
             CAST(0 AS BIGINT) AS deletes FROM telemetry
@@ -616,11 +619,11 @@ def statements() -> dict[str, str]:
         "file_records": t + """SELECT 'PARQUET' AS file_format, 'status=' || status AS partition,
             COUNT(*) AS record_count FROM telemetry GROUP BY 1, 2""",
         "evolve_add": t + """SELECT event_id, device_id, ts, temperature, humidity, status,
-            CASE WHEN status <> 'OK' THEN 'checked' END AS operator_notes FROM telemetry""",
+            CASE WHEN status <> 'OK' THEN status END AS remark FROM telemetry""",
         "evolve_rename": t + """SELECT event_id, device_id, ts, temperature, humidity, status,
-            CASE WHEN status <> 'OK' THEN 'checked' END AS notes FROM telemetry""",
+            CASE WHEN status <> 'OK' THEN status END AS notes FROM telemetry""",
         "evolve_drop": t + """SELECT event_id, device_id, ts, temperature, humidity, status,
-            CAST(NULL AS VARCHAR) AS operator_notes FROM telemetry""",
+            CAST(NULL AS VARCHAR) AS remark FROM telemetry""",
         "layout_evolution": t + "SELECT * FROM telemetry",
         "bucket_counts": t + f"""SELECT {HASH.format('device_id')} % 10 AS bucket, COUNT(*) AS rows
             FROM telemetry GROUP BY 1""",

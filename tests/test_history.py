@@ -82,40 +82,52 @@ def test_rollback(spark):
     assert state(H.as_of_version(back, ["k"], 20)) == states[20]
 
 
-def test_stored_versions(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    rows = spark.createDataFrame([("a", 1), ("b", 40)], "k string, v int").withColumn("_op", F.lit("upsert"))
-    assert H.commit(spark, path, rows, "insert", "2026-06-10 10:00:00") == 1
-    changes, _ = H.read_log(spark, path)
-    update = H.update_changes(H.current(changes, ["k"]), F.col("k") == "a", {"v": F.lit(2)})
-    assert H.commit(spark, path, update, "update", "2026-06-10 11:00:00") == 2
-    changes, _ = H.read_log(spark, path)
-    delete = H.delete_changes(H.current(changes, ["k"]), F.col("v") > 30)
-    assert H.commit(spark, path, delete, "delete", "2026-06-10 12:00:00") == 3
-    changes, commits = H.read_log(spark, path)
-    assert state(H.current(changes, ["k"])) == {"a": 2}
-    assert state(H.as_of_time(changes, commits, ["k"], "2026-06-10 11:30:00")) == {"a": 2, "b": 40}
-    assert state(H.as_of_time(changes, commits, ["k"], 1781085600000)) == {"a": 1, "b": 40}
-    listed = [tuple(r) for r in commits.orderBy("version").select("version", "parent", "operation", "upserts", "deletes").collect()]
-    assert listed == [(1, None, "insert", 2, 0), (2, 1, "update", 1, 0), (3, 2, "delete", 0, 1)]
+def test_times_of_versions(spark):
+    rows = [("a", 1, 1, "upsert", 0, 10), ("b", 40, 1, "upsert", 0, 10), ("a", 2, 2, "upsert", 0, 11), ("b", None, 3, "delete", 0, 12)]
+    timed = spark.createDataFrame(rows, f"{SCHEMA}, hour int")
+    changes = timed.drop("hour")
+    commits = H.commit_summary(timed.withColumn("at", F.timestamp_seconds(F.col("hour") * 3600)), "at")
+    assert state(H.as_of_time(changes, commits, ["k"], "1970-01-01 11:30:00")) == {"a": 2, "b": 40}
+    assert state(H.as_of_time(changes, commits, ["k"], 10 * 3_600_000)) == {"a": 1, "b": 40}
+    assert sorted(tuple(r) for r in commits.drop("committed_at").collect()) == [(1, 2, 0), (2, 1, 0), (3, 0, 1)]
     with pytest.raises(ValueError, match="no version"):
-        H.version_at(commits, "2026-06-10 09:00:00")
+        H.version_at(commits, "1970-01-01 09:00:00")
     with pytest.raises(ValueError, match="does not exist"):
         H.check_version(commits, 9)
 
 
-def test_half_written_version_is_invisible_and_retries_are_recognised(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    rows = spark.createDataFrame([("a", 1)], "k string, v int").withColumn("_op", F.lit("upsert"))
-    assert H.commit(spark, path, rows, "stream", "2026-06-10 10:00:00", batch_id=0) == 1
-    assert H.commit(spark, path, rows, "stream", "2026-06-10 10:00:00", batch_id=0) == 1
-    lost = rows.withColumn("v", F.lit(99)).withColumn("_seq", F.lit(0).cast("bigint"))
-    lost.write.parquet(f"{path}/changes/_version=2")
-    changes, _ = H.read_log(spark, path)
-    assert state(H.current(changes, ["k"])) == {"a": 1}
-    assert H.commit(spark, path, rows.withColumn("v", F.lit(5)), "stream", "2026-06-10 10:01:00", batch_id=1) == 2
-    changes, _ = H.read_log(spark, path)
-    assert state(H.current(changes, ["k"])) == {"a": 5}
+def test_stored_versions_read_a_base_and_what_came_after(spark, tmp_path):
+    path = f"file://{tmp_path}/log"
+    changes, states = log(spark)
+    H.write_changes(changes, path)
+    assert state(H.stored_version(spark, path, changes.schema, ["k"], 7)) == states[7]
+    assert H.fold_base(spark, path, changes.schema, ["k"], 6) == changes.where("_version <= 6").count()
+    assert H.fold_base(spark, path, changes.schema, ["k"], 15) == changes.where("_version <= 15").count()
+    for version in (1, 6, 7, 14, 15, 20):
+        assert state(H.stored_version(spark, path, changes.schema, ["k"], version)) == states[version]
+    plan = H.stored_version(spark, path, changes.schema, ["k"], 8)._jdf.queryExecution().executedPlan().toString()
+    assert "(_version" in plan and "PartitionFilters: [isnotnull(_version" in plan
+    base = H.stored_version(spark, path, changes.schema, ["k"], 8)
+    assert [H.newest_base(spark, path, v) for v in (5, 6, 14, 15, 99)] == [0, 6, 6, 15, 15]
+    assert state(base) == states[8]
+
+
+def test_a_base_stands_for_folders_that_are_gone(spark, tmp_path):
+    path = f"file://{tmp_path}/log"
+    changes, states = log(spark)
+    H.write_changes(changes, path)
+    H.fold_base(spark, path, changes.schema, ["k"], 12)
+    H.write_changes(changes.where("_version <= 12").withColumn("v", F.lit(-1)), path)  # no reader looks there any more
+    assert state(H.stored_version(spark, path, changes.schema, ["k"], 16)) == states[16]
+
+
+def test_writing_versions_again_changes_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/log"
+    changes, states = log(spark)
+    H.write_changes(changes.where("_version <= 10"), path)
+    H.write_changes(changes.where("_version > 8"), path)
+    assert H.read_changes(spark, path, changes.schema).count() == changes.count()
+    assert state(H.stored_version(spark, path, changes.schema, ["k"], 20)) == states[20]
 
 
 def test_reading_a_version_prunes_folders(spark, tmp_path):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stocktide.operators import evolve as E
 from stocktide.operators import history as H
+from stocktide.functions.times import stable_bucket
 from stocktide.operators import layout as Y
 from stocktide.sources import readers as R
 from stocktide.sources import writers as O
@@ -56,18 +57,15 @@ def test_compaction(spark, tmp_path):
     assert same(before, after) and len(after.inputFiles()) < len(before.inputFiles())
 
 
-def test_layout_generations(spark, tmp_path):
+def test_layouts_are_read_together(spark, tmp_path):
     path = f"file://{tmp_path}/t"
-    plain = Y.Layout()
-    by_status = plain.add_field("status")
-    bucketed = by_status.add_bucket("device_id", 10)
-    dropped = bucketed.drop_field("status")
-    for part, layout in enumerate((plain, by_status, bucketed, dropped)):
-        Y.write_layout(readings(spark).where(F.col("id") % 4 == (part + 3) % 4), path, layout)
-    assert same(Y.read_layouts(spark, path, [plain, by_status, bucketed, dropped]), readings(spark))
-    files = H.file_inventory(spark, f"{path}/layout=1")
-    assert {r["partition"] for r in files.collect()} == {"_p_status=OK", "_p_status=ERROR"}
-    assert files.agg(F.sum("record_count")).first()[0] == 500
+    fields = [{}, {"status": F.col("status")}, {"device": stable_bucket(F.col("device_id"), 10)}]
+    for part, by in enumerate(fields):
+        Y.write_by(readings(spark).where(F.col("id") % 3 == part), f"{path}/{part}", **by)
+    assert same(Y.read_together(spark, [f"{path}/{part}" for part in range(3)]), readings(spark))
+    files = H.file_inventory(spark, f"{path}/1")
+    assert {r["partition"] for r in files.collect()} == {"_by_status=OK", "_by_status=ERROR"}
+    assert files.agg(F.sum("record_count")).first()[0] == readings(spark).where("id % 3 = 1").count()
 
 
 def test_bucket_of_layout_is_the_bucket_function(spark):
@@ -95,38 +93,35 @@ def test_old_days_of_a_table_are_dropped(spark):
 
 
 def test_evolution_of_columns(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    columns = E.Columns.of(spark.createDataFrame([], "a int, b string"))
-    E.stored_form(spark.createDataFrame([(1, "x")], "a int, b string"), columns).write.mode("append").parquet(path)
-    columns = columns.add("notes", "string", "Manual notes")
-    new = spark.createDataFrame([(2, "y", "n")], "a int, b string, notes string")
-    E.stored_form(new, columns).write.mode("append").parquet(path)
-
-    def read(c):
-        return sorted(tuple(r) for r in E.read_evolved(spark, path, c).select(*c.names).collect())
-
-    assert read(columns) == [(1, "x", None), (2, "y", "n")]
-    renamed = columns.rename("notes", "remarks").describe("remarks", "Updated")
-    table = E.read_evolved(spark, path, renamed)
-    assert table.columns == ["a", "b", "remarks"] and table.schema["remarks"].metadata["comment"] == "Updated"
-    assert read(renamed) == [(1, "x", None), (2, "y", "n")]
-    gone = renamed.drop("remarks")
-    assert read(gone) == [(1, "x"), (2, "y")]
-    again = gone.add("remarks", "string")
-    assert read(again) == [(1, "x", None), (2, "y", None)]
-    assert E.Columns.from_json(again.to_json()) == again
-    with pytest.raises(KeyError):
-        columns.add("a", "int")
+    old, new, written = (f"file://{tmp_path}/{name}" for name in ("old", "new", "written"))
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(old)
+    spark.createDataFrame([(2, "y", "n")], "a int, b string, notes string").write.parquet(new)
+    schema = E.with_column(spark.read.parquet(old).schema, "notes", "string", "By hand")
+
+    def listed(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    table = E.read_declared(spark, [old, new], schema)
+    assert listed(table) == [(1, "x", None), (2, "y", "n")]
+    renamed = E.renamed(table, "notes", "remarks", "Updated")
+    assert renamed.columns == ["a", "b", "remarks"] and renamed.schema["remarks"].metadata["comment"] == "Updated"
+    assert listed(renamed) == [(1, "x", None), (2, "y", "n")]
+    kept = E.rewritten_without(spark, [old, new], schema, written, "notes")
+    assert listed(E.read_declared(spark, [written], kept)) == [(1, "x"), (2, "y")]
+    assert listed(E.read_declared(spark, [written], E.with_column(kept, "notes", "string"))) == [(1, "x", None), (2, "y", None)]
+    for wrong in (lambda: E.with_column(schema, "a", "int"), lambda: E.renamed(table, "zzz", "y"), lambda: E.renamed(table, "a", "b")):
+        with pytest.raises(KeyError):
+            wrong()
     with pytest.raises(KeyError):
-        columns.rename("zzz", "y")
+        E.rewritten_without(spark, [old], kept, written, "notes")
 
 
 def test_columns_not_asked_for_are_not_read(spark, tmp_path):
     path = f"file://{tmp_path}/t"
-    columns = E.Columns.of(readings(spark))
-    E.stored_form(readings(spark), columns).write.parquet(path)
-    report = Y.pruning_report(E.read_evolved(spark, path, columns).select("device_id").where("device_id = '3'"))
-    assert report["read_schema"] == "struct<f2:string>" and "EqualTo(f2,3)" in report["pushed_filters"]
+    readings(spark).write.parquet(path)
+    rows = E.read_declared(spark, [path], E.with_column(readings(spark).schema, "more", "string"))
+    report = Y.pruning_report(rows.select("device_id").where("device_id = '3'"))
+    assert report["read_schema"] == "struct<device_id:string>" and "EqualTo(device_id,3)" in report["pushed_filters"]
 
 
 def test_catalog_table_columns(spark):
