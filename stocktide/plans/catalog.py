@@ -907,12 +907,37 @@ def written_days(spark, d):
     )
 
 
+def _two_nights(spark, d):
+    """The nightly run over the older events, then over the newer ones."""
+    root = scratch_path(spark, "curated")
+    prefix = f"night_{root[-32:]}_"
+    inputs = (S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d))
+    for night in (F.col("event_time") < CUT, F.col("event_time") >= CUT):
+        done = run_curated(spark, *[rows.where(night) for rows in inputs], root, ["seq"], sales_by="month", prefix=prefix)
+    return done
+
+
 @query
 def curated_run(spark, d):
-    """The whole nightly run; its product table is the result."""
-    root = scratch_path(spark, "curated")
-    done = run_curated(
-        spark, S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d), root, ["seq"],
-        sales_by="month",
-    )
-    return _money(done.product_performance, "total_revenue")
+    """The product table after two nights."""
+    return _money(_two_nights(spark, d).product_performance, "total_revenue")
+
+
+@query
+def curated_sales(spark, d):
+    return _money(_two_nights(spark, d).sales_daily.drop("month"), "total_revenue")
+
+
+@query
+def curated_inventory(spark, d):
+    return _two_nights(spark, d).inventory_by_store
+
+
+@query
+def curated_customers(spark, d):
+    return _two_nights(spark, d).customer_360
+
+
+@query
+def curated_revenue(spark, d):
+    return _money(_two_nights(spark, d).daily_store_revenue, "daily_revenue")

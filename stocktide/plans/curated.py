@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,80 +23,73 @@ class Curated:
     daily_store_revenue: DataFrame
 
 
-def newest_generation(spark: SparkSession, path: str) -> int:
-    """Number of the last completely written generation of a table, 0 when there is none."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return 0
-    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/generation=*/_SUCCESS")) or []
-    return max((int(one.getPath().getParent().getName().split("=")[1]) for one in done), default=0)
-
-
-def _table(spark: SparkSession, path: str, columns: str) -> DataFrame:
-    """A Parquet table under its declared columns, in their order (folders come last otherwise)."""
+def _live(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """A table in folders under its declared columns, in their order (folders come last otherwise)."""
     schema = T.StructType.fromDDL(columns)
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def _read(spark: SparkSession, path: str, columns: str, generation: int) -> DataFrame:
-    if generation == 0:
-        return spark.createDataFrame([], columns)
-    return _table(spark, f"{path}/generation={generation}", columns)
-
-
-def _upserted(spark: SparkSession, path: str, columns: str, change, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``change(current state)`` as the next generation of a table. The old files stay
-    readable, so a run that dies half-way has changed nothing."""
-    now = newest_generation(spark, path)
-    rows = balanced(change(_read(spark, path, columns, now)), *(partition_by or []))
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/generation={now + 1}")
-    return _read(spark, path, columns, now + 1)
+def _switch(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+    """Let a catalog table read another folder. Files of the folder before stay, so open readers go on."""
+    if spark.catalog.tableExists(name):
+        quoted = path.replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{quoted}'")
+    else:
+        spark.catalog.createTable(name, path, "parquet", schema)
 
 
 def run_curated(
     spark: SparkSession, orders: DataFrame, inventory: DataFrame, customers: DataFrame, root: str,
-    tie: list[str], stock_once: bool = False, sales_by: str = "date",
+    tie: list[str], stock_once: bool = False, sales_by: str = "date", prefix: str = "",
 ) -> Curated:
     """Daily sales, current stock, customer profiles, product performance, store revenue.
 
-    Each table is written once and read back by the steps after it. Sales replace exactly
-    the days present in ``orders`` (or the months, with ``sales_by="month"`` for a long
-    history of thin days), so a rerun changes nothing. The revenue report is published only
-    when its quality rules hold.
+    All five are written beside the published ones first, and the job that writes a table counts the rows that
+    break its rules. A broken rule in any of them fails the run and leaves all five as they were. Publishing then
+    replaces the days (or months, with ``sales_by="month"`` for a long history of thin days) and stores that
+    occur in the new rows, each in one job, and lets the other three, catalog tables named with ``prefix``, read their new
+    folders. A run that dies while it publishes is healed by running it again: nothing is added twice.
     """
+    run = uuid.uuid4().hex
     sales_path, stock_path = f"{root}/sales_daily", f"{root}/inventory_by_store"
-    daily = aggregates.sales_daily(orders)
-    schema = curation.SALES_COLUMNS
-    if sales_by == "month":
-        daily, schema = daily.withColumn("month", F.substring("date", 1, 7)), f"{schema}, month string"
-    replace_days(daily, sales_path, [sales_by])
-    sales = _table(spark, sales_path, schema)
+    people_name = f"{prefix}customer_360"  # published last, so it tells whether anything was
+    started = spark.catalog.tableExists(people_name)
+    seen = {}
 
-    # a merge reads its source twice: stage the newest rows instead of finding them twice
-    newest_stock = staged(curation.latest_inventory(inventory, tie), "stock")
-    stock = _upserted(
-        spark, stock_path, curation.INVENTORY_COLUMNS,
-        lambda state: curation.merge_inventory(state, newest_stock), ["store_id"],
-    )
-    newest_people = staged(curation.latest_customers(customers, tie), "people")
-    people = _upserted(
-        spark, f"{root}/customer_360", curation.CUSTOMER_COLUMNS,
-        lambda state: curation.merge_customers(state, newest_people),
-    )
+    def beside(table: str, rows: DataFrame, *folders: str) -> DataFrame:
+        rows, seen[table] = quality.watched(rows, quality.CURATED_RULES[table]())
+        path = f"{root}/{table}-{run}"
+        balanced(rows, *folders).write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
 
-    products_path = f"{root}/product_performance"
-    curation.product_performance(sales, stock, stock_once).write.mode("overwrite").parquet(products_path)
+    def before(path: str, columns: str) -> DataFrame:
+        return _live(spark, path, columns) if started else spark.createDataFrame([], columns)
 
-    report = staged(aggregates.store_revenue_by_day(sales), "revenue")
-    quality.require(report, quality.revenue_rules(), "daily store revenue is negative")
-    report_path = f"{root}/daily_store_revenue"
-    report.write.mode("overwrite").parquet(report_path)
+    daily, sales_columns = aggregates.sales_daily(orders), curation.SALES_COLUMNS
+    if sales_by == "month":
+        daily, sales_columns = daily.withColumn("month", F.substring("date", 1, 7)), f"{sales_columns}, month string"
+    daily = beside("sales_daily", daily, sales_by)
+    untouched = before(sales_path, sales_columns).join(daily.select(sales_by).distinct(), sales_by, "left_anti")
+    sales = untouched.unionByName(daily)
+
+    news = staged(curation.latest_inventory(inventory, tie), "stock")
+    stores, old_stock = news.select("store_id").distinct(), before(stock_path, curation.INVENTORY_COLUMNS)
+    touched = curation.merge_inventory(old_stock.join(stores, "store_id", "left_semi"), news)
+    touched = beside("inventory_by_store", touched, "store_id")
+    stock = old_stock.join(stores, "store_id", "left_anti").unionByName(touched)
+
+    old_people = spark.table(people_name) if started else spark.createDataFrame([], curation.CUSTOMER_COLUMNS)
+    whole = {"customer_360": curation.merge_customers(old_people, curation.latest_customers(customers, tie))}
+    whole["product_performance"] = curation.product_performance(sales, stock, stock_once)
+    whole["daily_store_revenue"] = aggregates.store_revenue_by_day(sales)
+    whole = {table: beside(table, rows) for table, rows in whole.items()}
+    quality.require_watched(seen)
 
+    replace_days(daily, sales_path, [sales_by])
+    replace_days(touched, stock_path, ["store_id"])
+    for table in ("product_performance", "daily_store_revenue", "customer_360"):
+        _switch(spark, prefix + table, f"{root}/{table}-{run}", whole[table].schema)
     return Curated(
-        sales, stock, people, spark.read.schema(curation.PRODUCT_COLUMNS).parquet(products_path),
-        spark.read.parquet(report_path),
+        _live(spark, sales_path, sales_columns), _live(spark, stock_path, curation.INVENTORY_COLUMNS),
+        spark.table(people_name), spark.table(f"{prefix}product_performance"), spark.table(f"{prefix}daily_store_revenue"),
     )

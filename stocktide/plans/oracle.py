@@ -664,6 +664,11 @@ def statements() -> dict[str, str]:
         "written_days": f"""WITH {ORDERS} SELECT substring(event_time, 1, 10) AS date, COUNT(order_id) AS orders
             FROM raw_orders GROUP BY 1""",
         "curated_run": PRODUCT_PERFORMANCE,
+        "curated_sales": f"WITH {SALES} SELECT * FROM sales",
+        "curated_inventory": f"WITH {INVENTORY}, s AS ({stock()}) SELECT {TARGET_COLUMNS} FROM s",
+        "curated_customers": f"""WITH {CUSTOMERS}, s AS ({people()}) SELECT customer_id, first_name, last_name, email, phone,
+            loyalty_tier, event_time AS last_updated_time FROM s""",
+        "curated_revenue": f"WITH {REVENUE} SELECT * FROM revenue",
     }
 
 

@@ -1,8 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from stocktide.operators import quality as Q
-from stocktide.plans.curated import newest_generation, run_curated
+from stocktide.plans.curated import run_curated
 
 ORDERS = "order_id string, store_id string, product_id string, quantity int, price double, customer_id string, event_time string, status string"
 STOCK = "store_id string, product_id string, quantity_on_hand int, event_time string, supplier_id string, seq bigint"
@@ -10,6 +12,14 @@ PEOPLE = "customer_id string, first_name string, last_name string, email string,
 DAY1, DAY2 = "2026-06-10T08:00:00Z", "2026-06-11T08:00:00Z"
 
 
+@pytest.fixture
+def prefix(spark, tmp_path):
+    name = "".join(c if c.isalnum() else "_" for c in f"t{tmp_path.name}_").lower()
+    yield name
+    for table in ("customer_360", "product_performance", "daily_store_revenue"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}{table}")
+
+
 def orders(spark, *rows):
     return spark.createDataFrame(rows, ORDERS)
 
@@ -29,36 +39,65 @@ def snapshot(done):
     return [sorted(map(tuple, df.collect())) for df in (done.sales_daily, done.inventory_by_store, done.customer_360, done.product_performance, done.daily_store_revenue)]
 
 
-def test_run_and_rerun(spark, tmp_path):
+def test_run_and_rerun(spark, tmp_path, prefix):
     root = f"file://{tmp_path}/lake"
-    first = snapshot(run_curated(spark, *tables(spark), root, ["seq"]))
+    first = snapshot(run_curated(spark, *tables(spark), root, ["seq"], prefix=prefix))
     assert first[0] == [("2026-06-10", "s", "p", 2, 5.0, 1), ("2026-06-11", "s", "p", 1, 2.5, 1)]
     assert first[1] == [("s", "p", 7, DAY2, "x")]
     assert first[2] == [("c", "A", "B", "e", "1", "SILVER", DAY2)]
     assert first[3] == [("p", 3, 7.5, 14)]
     assert sorted(r[-2:] for r in first[4]) == [(2.5, 1), (5.0, 2)]
-    assert snapshot(run_curated(spark, *tables(spark), root, ["seq"])) == first
+    assert snapshot(run_curated(spark, *tables(spark), root, ["seq"], prefix=prefix)) == first
 
 
-def test_next_day_keeps_earlier_days_and_updates_stock(spark, tmp_path):
+def test_next_day_keeps_earlier_days_and_updates_stock(spark, tmp_path, prefix):
     root = f"file://{tmp_path}/lake"
-    run_curated(spark, *tables(spark), root, ["seq"])
+    run_curated(spark, *tables(spark), root, ["seq"], prefix=prefix)
     later = "2026-06-12T08:00:00Z"
     done = run_curated(
         spark, orders(spark, ("4", "s", "q", 1, 1.0, "c", later, "COMPLETED")),
         spark.createDataFrame([("s", "p", 1, later, "y", 3), ("t", "p", 2, later, "y", 4)], STOCK),
-        spark.createDataFrame([("d", "N", "M", "e", "", "GOLD", later, 3)], PEOPLE), root, ["seq"],
+        spark.createDataFrame([("d", "N", "M", "e", "", "GOLD", later, 3)], PEOPLE), root, ["seq"], prefix=prefix,
     )
     assert done.sales_daily.count() == 3 and done.customer_360.count() == 2
     assert sorted(map(tuple, done.inventory_by_store.collect())) == [("s", "p", 1, later, "y"), ("t", "p", 2, later, "y")]
-    assert newest_generation(spark, f"{root}/inventory_by_store") == 2
+    assert spark.table(f"{prefix}customer_360").count() == 2
 
 
-def test_bad_revenue_is_not_published(spark, tmp_path):
+def test_only_stores_with_news_are_rewritten(spark, tmp_path, prefix):
+    root = f"file://{tmp_path}/lake"
+    inputs = tables(spark)
+    stock = inputs[1].unionByName(spark.createDataFrame([("t", "p", 2, DAY1, "x", 3)], STOCK))
+    run_curated(spark, inputs[0], stock, inputs[2], root, ["seq"], prefix=prefix)
+    files = lambda store: sorted(os.listdir(tmp_path / "lake" / "inventory_by_store" / f"store_id={store}"))
+    before = files("s"), files("t")
+    news = spark.createDataFrame([("t", "p", 9, DAY2, "x", 4)], STOCK)
+    done = run_curated(spark, inputs[0].limit(0), news, inputs[2], root, ["seq"], prefix=prefix)
+    assert files("s") == before[0] and files("t") != before[1]
+    assert sorted(r["quantity_on_hand"] for r in done.inventory_by_store.collect()) == [7, 9]
+    assert done.sales_daily.count() == 2 and done.product_performance.first()["quantity_in_stock"] == 14
+
+
+@pytest.mark.parametrize("bad", ["price", "stock", "customer"])
+def test_a_broken_rule_leaves_all_tables_as_they_were(spark, tmp_path, prefix, bad):
     root = f"file://{tmp_path}/lake"
-    with pytest.raises(Q.QualityError, match="negative"):
-        run_curated(spark, *tables(spark, price=-1.0), root, ["seq"])
-    assert not (tmp_path / "lake" / "daily_store_revenue").exists()
+    done = run_curated(spark, *tables(spark), root, ["seq"], prefix=prefix)
+    first = snapshot(done)
+    sold, stock, people = tables(spark, price=-1.0 if bad == "price" else 9.0)
+    if bad == "stock":
+        stock = stock.withColumn("quantity_on_hand", F.lit(-4))
+    if bad == "customer":
+        people = people.unionByName(people.withColumn("customer_id", F.lit(None).cast("string")))
+    with pytest.raises(Exception, match="negative|key is null"):
+        run_curated(spark, sold, stock, people, root, ["seq"], prefix=prefix)
+    now = [done.sales_daily, done.inventory_by_store] + [spark.table(prefix + t) for t in ("customer_360", "product_performance", "daily_store_revenue")]
+    assert [sorted(map(tuple, df.collect())) for df in now] == first
+
+
+def test_a_broken_first_run_publishes_nothing(spark, tmp_path, prefix):
+    with pytest.raises(Q.QualityError, match="daily_store_revenue: daily_revenue_not_negative, 2 rows"):
+        run_curated(spark, *tables(spark, price=-1.0), f"file://{tmp_path}/lake", ["seq"], prefix=prefix)
+    assert not spark.catalog.tableExists(f"{prefix}customer_360") and not (tmp_path / "lake" / "sales_daily").exists()
 
 
 def test_rules(spark):

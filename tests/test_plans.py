@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 GLOBAL = {
     "scan_count", "date_device_avg", "total_records", "one_device_avg", "dq_revenue", "partition_rows",
 }
-BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_") and n != "curated_run")
+BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_") and not n.startswith("curated_"))
 
 
 @pytest.fixture(scope="module")
