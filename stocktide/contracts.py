@@ -69,3 +69,5 @@ KEEP_VERSIONS_DAYS = 7
 KEEP_RAW_DAYS = 30
 DEVICE_REPORT = "Device: %s | AvgTemp: %.2f"
 # ---------------------------------------------------------------------------
+TARGET_FILE_BYTES = 128 << 20
+JOIN_BUCKETS = 16

@@ -20,6 +20,12 @@ def on_day(df: DataFrame, day: str, key: str, value: str, day_column: str = "dat
     return df.where((F.col(day_column) == F.lit(day).cast("date")) & (F.col(key) == value))
 
 
+def within_day(ts: str, day: str, kind: str = "timestamp_ntz") -> Column:
+    """The day as a range on the stored time, which reaches the files' statistics; a cast of the time would not."""
+    first = F.lit(day).cast("date")
+    return (F.col(ts) >= first.cast(kind)) & (F.col(ts) < F.date_add(first, 1).cast(kind))
+
+
 def since(df: DataFrame, day: str, ts: str = "ts", day_column: str | None = "date") -> DataFrame:
     """Rows from a day on: the range on the day column prunes, the range on the time is exact."""
     rows = df.where(F.col(ts) >= F.lit(day).cast(dict(df.dtypes)[ts]))

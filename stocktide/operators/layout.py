@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stocktide import contracts as C
 from stocktide.functions.times import stable_bucket
+from stocktide.session import pin
 from stocktide.sources.writers import balanced
 
 
@@ -58,6 +61,39 @@ def compact(spark: SparkSession, source: str, target: str, partition_by: list[st
     writer.parquet(target)
 
 
+def file_sizes(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    """Every file of a table with its folder, size and number of rows."""
+    table = spark.read.schema(schema).parquet(path)
+    named = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")]
+    return table.groupBy(*folders, *named).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def compact_small(
+    spark: SparkSession, path: str, schema: T.StructType, folders: list[str], sort_by: list[str],
+    target_bytes: int = C.TARGET_FILE_BYTES, small_below: float = 0.5,
+) -> DataFrame:
+    """Write the folders anew that hold two or more small files, in files of about the target size. Returns these
+    folders with their bytes; all other folders keep their files.
+
+    Pieces of a folder follow from its size, so a large folder is many tasks and a small one is one file. A folder
+    is replaced when all its new files are there.
+    """
+    files = file_sizes(spark, path, schema, folders)
+    sizes = files.groupBy(*folders).agg(
+        F.count_if(F.col("file_size") < small_below * target_bytes).alias("small"), F.sum("file_size").alias("bytes")
+    )
+    chosen = pin(sizes.where("small > 1"))
+    if chosen.isEmpty():
+        return chosen
+    pieces = chosen.select(*folders, F.ceil(F.col("bytes") / target_bytes).cast("int").alias("_pieces")).alias("c")
+    same = reduce(and_, (F.col(f"t.{f}").eqNullSafe(F.col(f"c.{f}")) for f in folders))
+    rows = spark.read.schema(schema).parquet(path).alias("t").join(pieces, same).select("t.*", "_pieces")
+    dealt = rows.withColumn("_piece", F.pmod(F.xxhash64(*sort_by), F.col("_pieces")))
+    laid = dealt.repartition(*folders, "_piece").sortWithinPartitions(*folders, "_piece", *sort_by).select(*schema.names)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+    return chosen
+
+
 def pruning_report(df: DataFrame) -> dict[str, str | int]:
     """What the scan of a filtered table was able to skip: partition filters, filters pushed
     to the files, columns read, and the number of files left."""

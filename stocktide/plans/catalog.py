@@ -203,7 +203,8 @@ def high_temp(spark, d):
 
 @query
 def date_device_avg(spark, d):
-    return _settled(A.mean_of(B.on_day(_dated(spark, d), "2024-01-10", "device_id", "3"), "temperature", "avg_temp"), "avg_temp")
+    rows = S.telemetry(spark, d, only=(F.col("user_id") == 3) & B.within_day("ts", "2024-01-10"))
+    return _settled(A.mean_of(rows, "temperature", "avg_temp"), "avg_temp")
 
 
 @query
@@ -344,7 +345,7 @@ def device_summary(spark, d):
 
 @query
 def one_device_avg(spark, d):
-    return _settled(A.mean_of(S.telemetry(spark, d).where(F.col("device_id") == "3"), "temperature", "avg_temp"), "avg_temp")
+    return _settled(A.mean_of(S.telemetry(spark, d, only=F.col("user_id") == 3), "temperature", "avg_temp"), "avg_temp")
 
 
 @query
@@ -711,6 +712,26 @@ def compacted(spark, d):
     return spark.read.parquet(merged)
 
 
+@query
+def compacted_by_size(spark, d):
+    """Only the folder with small files is written anew; rows, files and what was rewritten by folder."""
+    path, rows = scratch_path(spark, "sized"), S.telemetry(spark, d)
+    Y.spread_out(rows.where("status = 'OK'"), 16).write.partitionBy("status").parquet(path)
+    rows.where("status = 'ERROR'").coalesce(1).write.mode("append").partitionBy("status").parquet(path)
+    done = Y.compact_small(spark, path, rows.schema, ["status"], ["device_id", "ts"])
+    files = Y.file_sizes(spark, path, rows.schema, ["status"]).groupBy("status").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    return files.join(done.select("status", F.lit(True).alias("rewritten")), "status", "left").fillna(False, ["rewritten"])
+
+
+@query
+def sales_with_stock_bucketed(spark, d):
+    """The join of two tables bucketed by its keys; neither side is shuffled again."""
+    run = scratch_path(spark, "bucketed")[-32:]
+    sales = O.write_bucketed(spark, _sales(spark, d), f"sales_{run}", KEYS)
+    stock = O.write_bucketed(spark, _stock(spark, d), f"stock_{run}", KEYS)
+    return _money(U.sales_with_stock(sales, stock), "total_revenue")
+
+
 @query
 def retain_recent(spark, d):
     recent = Y.retain_recent(_dated(spark, d), F.lit("2024-01-30"), 7)

@@ -561,6 +561,7 @@ def statements() -> dict[str, str]:
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a)
             SELECT event_id, device_id, arrival, COALESCE(ts < seen - INTERVAL '120 seconds', false) AS is_late FROM s""",
         "sales_with_stock": f"WITH {PERFORMANCE} SELECT * FROM joined",
+        "sales_with_stock_bucketed": f"WITH {PERFORMANCE} SELECT * FROM joined",
         "product_performance": PRODUCT_PERFORMANCE,
         "product_performance_fixed": f"""WITH {PERFORMANCE}, once AS (SELECT product_id, store_id,
             SUM(total_quantity) AS q, SUM(CAST(total_revenue AS DECIMAL(18,2))) AS r, MAX(quantity_on_hand) AS h
@@ -630,6 +631,8 @@ def statements() -> dict[str, str]:
         "partition_preserves_rows": f"WITH {RATINGS} SELECT * FROM ratings",
         "partition_rows": "SELECT CAST(4 AS BIGINT) AS partitions, COUNT(*) AS rows FROM lineitem",
         "compacted": t + "SELECT * FROM telemetry",
+        "compacted_by_size": t + """SELECT status, CAST(1 AS BIGINT) AS files, COUNT(*) AS rows, status = 'OK' AS rewritten
+            FROM telemetry GROUP BY 1""",
         "retain_recent": t + """SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM telemetry
             WHERE CAST(ts AS DATE) >= DATE '2024-01-23'""",
         "tumbling_hour": tumbling("1 hour"),

@@ -22,8 +22,10 @@ def _midnight(ts: str) -> Column:
     return F.concat(F.col(ts).cast("date").cast("string"), F.lit("T00:00:00Z"))
 
 
-def telemetry(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
-    return scan(spark, sf_dir, "events", spread_out).select(
+def telemetry(spark: SparkSession, sf_dir: str, spread_out: bool = False, only: Column | None = None) -> DataFrame:
+    """Sensor readings. ``only`` is a condition on the stored columns, so that it can be pushed to the files."""
+    rows = scan(spark, sf_dir, "events", spread_out)
+    return (rows if only is None else rows.where(only)).select(
         "event_id",
         F.col("user_id").cast("string").alias("device_id"),
         "ts",

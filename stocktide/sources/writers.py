@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocktide import contracts as C
+
 
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Bring equal keys together for writing, but split what is too big for one task.
@@ -56,6 +58,13 @@ def replace_days(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, name: str, keys: list[str], buckets: int = C.JOIN_BUCKETS) -> DataFrame:
+    """A catalog table in buckets of its keys, sorted inside. Joins and groupings by these keys need no shuffle."""
+    dealt = df.repartition(buckets, *keys)  # one file for each bucket
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
 def create_table(spark: SparkSession, name: str, columns: str, partition_by: list[str] | None = None) -> None:
     """Create if absent."""
     layout = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""

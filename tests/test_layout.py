@@ -3,9 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from stocktide.functions.times import stable_bucket
 from stocktide.operators import evolve as E
 from stocktide.operators import history as H
-from stocktide.functions.times import stable_bucket
 from stocktide.operators import layout as Y
 from stocktide.sources import readers as R
 from stocktide.sources import writers as O
@@ -57,6 +57,24 @@ def test_compaction(spark, tmp_path):
     assert same(before, after) and len(after.inputFiles()) < len(before.inputFiles())
 
 
+def test_only_folders_with_small_files_are_rewritten(spark, tmp_path):
+    path, rows = f"file://{tmp_path}/t", readings(spark)
+    Y.spread_out(rows.where("status = 'OK'"), 12).write.partitionBy("status").parquet(path)
+    rows.where("status = 'ERROR'").coalesce(1).write.mode("append").partitionBy("status").parquet(path)
+    names = lambda status: sorted(p.name for p in (tmp_path / "t" / f"status={status}").glob("*.parquet"))
+    before, kept = names("OK"), names("ERROR")
+    size = sum((tmp_path / "t" / "status=OK" / name).stat().st_size for name in before)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # pieces this small would share a task
+    try:
+        done = Y.compact_small(spark, path, rows.schema, ["status"], ["device_id", "ts"], target_bytes=size // 3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [(r["status"], r["small"], r["bytes"]) for r in done.collect()] == [("OK", 12, size)]
+    assert names("ERROR") == kept and not set(names("OK")) & set(before) and 2 <= len(names("OK")) <= 4
+    assert same(spark.read.schema(rows.schema).parquet(path), rows)
+    assert Y.compact_small(spark, path, rows.schema, ["status"], ["ts"], target_bytes=1).isEmpty()
+
+
 def test_layouts_are_read_together(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     fields = [{}, {"status": F.col("status")}, {"device": stable_bucket(F.col("device_id"), 10)}]

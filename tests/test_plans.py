@@ -35,6 +35,20 @@ def test_pruned_columns_and_pushed_filters(spark, sf_dir):
     assert "GreaterThanOrEqual(l_quantity,4.0)" in report["pushed_filters"]
 
 
+@pytest.mark.parametrize("name", ["date_device_avg", "one_device_avg"])
+def test_key_filters_reach_the_files(spark, sf_dir, name):
+    from stocktide.operators.layout import pruning_report
+
+    report = pruning_report(entry.queries()[name](spark, sf_dir))
+    assert "EqualTo(user_id,3)" in report["pushed_filters"]
+    assert name == "one_device_avg" or "GreaterThanOrEqual(ts,2024-01-10T00:00)" in report["pushed_filters"]
+
+
+def test_bucketed_join_shuffles_nothing(spark, sf_dir, no_broadcast):
+    plan = entry.queries()["sales_with_stock_bucketed"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_top_k_is_not_a_full_sort(spark, sf_dir):
     plan = entry.queries()["top_stores"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
