@@ -7,6 +7,7 @@ Ties and times are made explicit so that results repeat.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from stocktide.operators import validate as V
 from stocktide.operators import windows as W
 from stocktide.plans import samples as S
 from stocktide.plans.curated import run_curated
-from stocktide.session import scratch_path
+from stocktide.session import scratch_path, staged
 from stocktide.sources import messages as M
 from stocktide.sources import readers as R
 from stocktide.sources import writers as O
@@ -98,6 +99,77 @@ def csv_round_trip(spark, d):
     )
 
 
+def _table_name(spark, label: str) -> str:
+    return f"{label}_{scratch_path(spark, label)[-32:]}"
+
+
+@query
+def external_csv_rows(spark, d):
+    """A named table over CSV files that stay where they are."""
+    path = scratch_path(spark, "external")
+    O.write_csv(S.telemetry(spark, d).select("device_id", "temperature", "humidity", "status"), path)
+    rows = R.external_csv(spark, _table_name(spark, "external"), path, R.SENSOR_SCHEMA)
+    return rows.withColumn("device_id", F.col("device_id").cast("bigint"))
+
+
+@query
+def insert_into_created(spark, d):
+    """Created once although asked for twice, then filled by name from two queries."""
+    name, daily = _table_name(spark, "stats"), A.device_daily(S.telemetry(spark, d))
+    for _ in range(2):
+        O.create_table(spark, name, "device_id string, reading_count bigint, avg_temperature double, date string", ["date"])
+    for part in ("date < '2024-01-10'", "date >= '2024-01-10'"):
+        O.insert_rows(daily.where(part), name)
+    return _settled(spark.table(name), "avg_temperature")
+
+
+@query
+def replaced_report(spark, d):
+    """A derived table built twice; the second build takes the place of the first."""
+    name, daily = _table_name(spark, "report"), A.device_daily(S.telemetry(spark, d))
+    for part in ("date < '2024-01-10'", "date >= '2024-01-10'"):
+        O.replace_table(daily.where(part).select("device_id", "date", "reading_count"), name)
+    return spark.table(name)
+
+
+@query
+def shared_view_rows(spark, d):
+    """Rows appended after a view was made are seen through it."""
+    path, name, rows = scratch_path(spark, "shared"), _table_name(spark, "view"), S.telemetry(spark, d)
+    O.write_table(rows.where("status = 'OK'"), path, "overwrite")
+    R.shared_view(spark, name, path)
+    O.write_table(rows.where("status <> 'OK'"), path, "append")
+    spark.sql(f"REFRESH TABLE {name}")
+    return spark.table(name)
+
+
+@query
+def column_added_to_table(spark, d):
+    """A catalog table that gets a described column; rows from before read null there."""
+    name, rows = _table_name(spark, "growing"), S.telemetry(spark, d).select("event_id", "status")
+    O.create_table(spark, name, "event_id bigint, status string")
+    O.insert_rows(rows.where("status = 'OK'"), name)
+    E.add_table_column(spark, name, "remark", "string", "Set by hand")
+    E.comment_table_column(spark, name, "remark", "Status of the reading")
+    O.insert_rows(rows.where("status <> 'OK'").withColumn("remark", F.lower("status")), name)
+    comment = spark.table(name).schema["remark"].metadata["comment"]
+    return spark.table(name).withColumn("described", F.lit(comment))
+
+
+@query
+def dropped_tables(spark, d):
+    """What a schema still holds after one of its tables was dropped, taken before the schema goes too."""
+    schema, rows = _table_name(spark, "shop"), S.telemetry(spark, d)
+    O.create_schema(spark, schema)
+    for table, part in (("kept", "status = 'OK'"), ("gone", "status <> 'OK'")):
+        O.replace_table(rows.where(part), f"{schema}.{table}")
+    O.drop_table(spark, f"{schema}.gone")
+    left = [spark.table(f"{schema}.{t.name}").withColumn("table", F.lit(t.name)) for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    counts = staged(reduce(DataFrame.unionByName, left).groupBy("table").agg(F.count(F.lit(1)).alias("rows")), "left")
+    O.drop_schema(spark, schema)
+    return counts.withColumn("schema_exists", F.lit(spark.catalog.databaseExists(schema)))
+
+
 @query
 def clustered_read(spark, d):
     path = scratch_path(spark, "clustered")
@@ -867,6 +939,37 @@ def stream_window_panes(spark, d):
     return _utc(panes, "window_start", "window_end")
 
 
+@query
+def stream_resumed(spark, d):
+    """A consumer stopped after half of the messages goes on where it was, and every message counts once."""
+    rows = S.telemetry_messages(spark, d)
+    half = F.crc32("value") % 2 == 0
+    topic, path = _topic(spark, rows.where(half), "topic"), scratch_path(spark, "resumed")
+
+    def drain():
+        ok = V.valid(V.tag_telemetry(R.read_messages(spark, topic, files_per_batch=3)))
+        ingest.drained(ingest.append_stream(ok, path, f"{path}-checkpoint", once=True))
+
+    drain()
+    more = _topic(spark, rows.where(~half), "more")
+    spark.read.parquet(more).write.mode("append").parquet(topic)
+    drain()
+    return spark.read.parquet(path)
+
+
+@query
+def stream_every_second(spark, d):
+    """A stream that commits on a fixed cadence until all messages are there."""
+    topic, path = _topic(spark, S.telemetry_messages(spark, d), "topic"), scratch_path(spark, "cadence")
+    ok = V.valid(V.tag_telemetry(R.read_messages(spark, topic, files_per_batch=4)))
+    running = ingest.append_stream(ok, path, f"{path}-checkpoint", every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(path)
+
+
 @query
 def stream_late_tags(spark, d):
     """Late rows of a stream in several batches, flagged as in one."""

@@ -475,6 +475,14 @@ def statements() -> dict[str, str]:
     return {
         "scan_count": "SELECT COUNT(*) AS rows FROM events",
         "csv_round_trip": t + "SELECT CAST(device_id AS BIGINT) AS device_id, temperature, humidity, status FROM telemetry",
+        "external_csv_rows": t + "SELECT CAST(device_id AS BIGINT) AS device_id, temperature, humidity, status FROM telemetry",
+        "insert_into_created": f"WITH {TELEMETRY}, {DAILY} SELECT device_id, reading_count, avg_temperature, date FROM daily",
+        "replaced_report": f"WITH {TELEMETRY}, {DAILY} SELECT device_id, date, reading_count FROM daily WHERE date >= '2024-01-10'",
+        "shared_view_rows": t + "SELECT * FROM telemetry",
+        "column_added_to_table": t + """SELECT event_id, status, CASE WHEN status <> 'OK' THEN lower(status) END AS remark,
+            'Status of the reading' AS described FROM telemetry""",
+        "dropped_tables": t + """SELECT 'kept' AS "table", COUNT(*) AS rows, false AS schema_exists FROM telemetry
+            WHERE status = 'OK'""",
         "clustered_read": t + """SELECT event_id, device_id, ts, temperature, status FROM telemetry
             WHERE CAST(ts AS DATE) = DATE '2024-01-10' AND device_id = '3'""",
         "insert_append": f"""WITH {TELEMETRY}, {DAILY} SELECT device_id, date, avg_temperature, reading_count,
@@ -643,6 +651,8 @@ def statements() -> dict[str, str]:
         "device_windows": t + windows("telemetry", "1 hour"),
         "readings": READINGS + " SELECT * FROM readings",
         "stream_filter_ok": TELEMETRY_OK,
+        "stream_resumed": TELEMETRY_OK,
+        "stream_every_second": TELEMETRY_OK,
         "stream_dead_letters": ORDER_OUTCOMES,
         "stream_three_sources": _three_sources(),
         "stream_closed_windows": READINGS + f" SELECT * FROM ({windows('readings', '1 hour')}) WHERE true{CLOSED}",

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 GLOBAL = {
-    "scan_count", "date_device_avg", "total_records", "one_device_avg", "dq_revenue", "partition_rows",
+    "scan_count", "dropped_tables", "date_device_avg", "total_records", "one_device_avg", "dq_revenue", "partition_rows",
 }
 BATCH = sorted(n for n in entry.queries() if not n.startswith("stream_") and not n.startswith("curated_"))
 
