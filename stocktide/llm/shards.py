@@ -24,7 +24,6 @@ SHARDS = 16
 ROUNDS = 4
 PIECES = 1024
 BUCKETS = 1024  # moves between two shards are granted in this many steps
-SLACK = 0.01  # of an even share, that a shard may be above it during the rounds
 SLOT_ROWS = 50_000  # rows numbered together
 
 
@@ -40,11 +39,14 @@ def _sizes(rows: DataFrame, count: Column, shards: int) -> list[int]:
 
 def propagate(cells: DataFrame, fixed: list[int], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (hub, piece, shard, n: rows of a hub that move together) with the shards after some
-    rounds. ``fixed`` counts the rows without links in each shard. ``cells`` has to be stored."""
+    rounds. ``fixed`` counts the rows without links in each shard. ``cells`` has to be stored.
+
+    A shard takes linked rows up to an even share of all rows: the rows without links that are then too many
+    are handed over at the end, which cuts nothing."""
     shards = len(fixed)
     for number in range(rounds):
-        sizes = [a + b for a, b in zip(fixed, _sizes(cells, F.sum("n"), shards))]
-        ceiling = int(sum(sizes) / shards * (1 + SLACK)) + 1
+        sizes = _sizes(cells, F.sum("n"), shards)
+        ceiling = (sum(fixed) + sum(sizes)) // shards
         there = cells.groupBy("hub", "shard").agg(F.sum("n").alias("n"))
         # ties differ from hub to hub, so that small hubs do not all ask for the same shard
         wishes = there.groupBy("hub").agg(F.max_by("shard", F.struct("n", F.xxhash64("hub", "shard"))).alias("wish"))
@@ -78,7 +80,7 @@ def _even(rows: DataFrame, shards: int) -> DataFrame:
     quotas = [total // shards + (i < total % shards) for i in range(shards)]
     groups = max(1, -(-total // (shards * SLOT_ROWS)))
     # linked rows come first in a shard, so that what is handed over are unlinked ones where there are any
-    group = F.pmod(F.col("mark"), F.lit(groups)) + F.when(F.col("linked"), 0).otherwise(groups)
+    group = F.pmod(F.xxhash64("mark", "uid"), F.lit(groups)) + F.when(F.col("linked"), 0).otherwise(groups)
     rows = rows.withColumn("group", group)
     counts = rows.groupBy("shard", "group").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)

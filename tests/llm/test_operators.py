@@ -265,6 +265,40 @@ def test_labels_gather_linked_rows(spark):
     assert len(sizes) == 16 and max(sizes) - min(sizes) <= 1
 
 
+def _cut(edges, place):
+    return sum(place[a] != place[b] for a, b in edges)
+
+
+def test_rounds_cut_fewer_edges_and_keep_to_the_share(spark):
+    """Groups of equal rows over four shards, against the places they start from."""
+    rng = random.Random(12)
+    rows = [(f"hub{h}", i) for h, n in enumerate([2, 2, 3, 5, 8, 13, 40]) for i in range(n)]
+    start = {row: rng.randrange(4) for row in rows}
+    counts = Counter((h, p, start[h, p]) for h, p in rows)
+    cells = spark.createDataFrame([(h, p, s, n) for (h, p, s), n in counts.items()], "hub string, piece int, shard int, n bigint")
+    edges = [(a, b) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[0] == b[0]]
+    for fixed in ([20] * 4, [0] * 4, [0, 0, 0, 60]):
+        share = (len(rows) + sum(fixed)) // 4
+        before, sizes = _cut(edges, start), Counter(start.values())
+        for rounds in (1, 2, 4):
+            end = {(r["hub"], r["piece"]): r["shard"] for r in shards.propagate(cells, fixed, rounds).collect()}
+            assert sorted(end) == sorted(start) and _cut(edges, end) <= before
+            before = _cut(edges, end)
+            assert all(n <= max(share, sizes[s]) for s, n in Counter(end.values()).items())
+        # without other rows the largest group can't stay whole
+        assert before < _cut(edges, start) / (2 if sum(fixed) else 1)
+
+
+def test_groups_stay_whole_where_there_is_room(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    places, hubs = {}, Counter()
+    for r in shards.assign(docs).filter("linked").collect():
+        places.setdefault(r["hub"], set()).add(r["shard"])
+        hubs[r["hub"]] += 1
+    small = [h for h, n in hubs.items() if n <= docs.count() // 64]
+    assert small and all(len(places[h]) == 1 for h in small)
+
+
 # ---- 3 top k ----------------------------------------------------------------------------
 
 
