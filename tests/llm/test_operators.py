@@ -272,7 +272,7 @@ def _cut(edges, place):
 def test_rounds_cut_fewer_edges_and_keep_to_the_share(spark):
     """Groups of equal rows over four shards, against the places they start from."""
     rng = random.Random(12)
-    rows = [(f"hub{h}", i) for h, n in enumerate([2, 2, 3, 5, 8, 13, 40]) for i in range(n)]
+    rows = [(f"hub{h}", i) for h, n in enumerate([2, 2, 3, 5, 8, 13, 20]) for i in range(n)]
     start = {row: rng.randrange(4) for row in rows}
     counts = Counter((h, p, start[h, p]) for h, p in rows)
     cells = spark.createDataFrame([(h, p, s, n) for (h, p, s), n in counts.items()], "hub string, piece int, shard int, n bigint")
