@@ -17,11 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The texts that count as what.
-OBJECT_TEXT = r"^\s*[{]"
 NUMBER_TEXT = r"^\s*[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*$"
-NUMERIC_KIND = r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
-# kind and text joined by a colon, for a number that is not zero or a flag that is true
-TRUTHY = r"^(BOOLEAN:true|(BIGINT|DOUBLE|FLOAT|DECIMAL[^:]*):[^:]*[1-9])"
+NUMERIC_KINDS = ("BIGINT", "DOUBLE", "FLOAT")
+DECIMAL_KIND = "DECIMAL"  # followed by its precision and scale
+NOT_ZERO = "[1-9]"
 
 
 def decode(message: Column, binary: bool = True) -> Column:
@@ -36,24 +35,37 @@ def decode(message: Column, binary: bool = True) -> Column:
 def with_fields(df: DataFrame, value: str, names: Iterable[str], numbers: Iterable[str] = ()) -> DataFrame:
     """Parse a message column once and add what the fields hold.
 
-    Per field: ``_kind_*`` and ``_text_*``; for the ``numbers`` also ``_long_*`` and
+    Per field: ``_kind_*``, ``_text_*``, ``_number_*`` (is it one) and ``_truthy_*``; for the ``numbers`` also ``_long_*`` and
     ``_double_*``. ``_object`` tells whether the message is a JSON object at all.
 
+    The message is cut into its fields in one pass: a struct of VARIANT fields is null for
+    anything but an object, and a field of it is null where the object has no such key.
+
     The values go through a one-element ``inline``. That keeps them computed once: a filter
     on something derived from them would otherwise be pushed below the parsing, which then
     runs again for every mention of a field.
     """
-    parsed = df.withColumn("_doc", decode(F.col(value)))
-    looks_like_object = F.col(value).cast("string").rlike(OBJECT_TEXT)
-    columns = {"_object": F.col("_doc").isNotNull() & F.coalesce(looks_like_object, F.lit(False))}
+    names, numbers = list(names), list(numbers)
+    shape = ", ".join(f"`{name}`: variant" for name in names)
+    parsed = df.withColumn("_doc", F.try_variant_get(decode(F.col(value)), "$", f"struct<{shape}>"))
+    read = {"_object": F.col("_doc").isNotNull()}
     for name in names:
-        inner = F.try_variant_get("_doc", f"$.{name}", "variant")
-        columns[f"_kind_{name}"] = F.schema_of_variant(inner)
-        columns[f"_text_{name}"] = F.try_variant_get("_doc", f"$.{name}", "string")
+        read[f"_kind_{name}"] = F.schema_of_variant(F.col("_doc")[name])
+        read[f"_text_{name}"] = F.try_variant_get(F.col("_doc")[name], "$", "string")
     for name in numbers:
-        columns[f"_long_{name}"] = F.try_variant_get("_doc", f"$.{name}", "bigint")
-        columns[f"_double_{name}"] = F.try_variant_get("_doc", f"$.{name}", "double")
-    return parsed.withColumns(columns).select(*df.columns, F.inline(F.array(F.struct(*columns))))
+        read[f"_long_{name}"] = F.try_variant_get(F.col("_doc")[name], "$", "bigint")
+        read[f"_double_{name}"] = F.try_variant_get(F.col("_doc")[name], "$", "double")
+    judged = {}
+    for name in names:
+        kind, text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
+        number = kind.isin(*NUMERIC_KINDS) | kind.startswith(DECIMAL_KIND)
+        judged[f"_number_{name}"] = number
+        judged[f"_truthy_{name}"] = F.coalesce(
+            F.when(kind == "STRING", text != "").when(number, text.rlike(NOT_ZERO)).otherwise((kind == "BOOLEAN") & (text == "true")),
+            F.lit(False),
+        )
+    every = parsed.withColumns(read).withColumns(judged)
+    return every.select(*df.columns, F.inline(F.array(F.struct(*read, *judged))))
 
 
 def is_object() -> Column:
@@ -71,7 +83,7 @@ class Field:
         self.null = self.kind.eqNullSafe(F.lit("VOID"))
         self.missing = self.absent | self.null
         self.is_text = self.kind == "STRING"
-        self.is_number = self.kind.rlike(NUMERIC_KIND)
+        self.is_number = F.col(f"_number_{name}")
 
     def as_double(self) -> Column:
         """float(): numbers, flags and number text; anything else gives null."""
@@ -85,14 +97,13 @@ class Field:
     def as_text(self) -> Column:
         """str() of a scalar; true and false are written with a capital."""
         return (
-            F.when(self.is_text | self.kind.rlike(NUMERIC_KIND), self.text)
+            F.when(self.is_text | self.is_number, self.text)
             .when(self.kind == "BOOLEAN", F.initcap(self.text))
         )
 
     def truthy(self) -> Column:
         """Given and not empty, zero or false."""
-        other = F.concat_ws(":", self.kind, self.text).rlike(TRUTHY)
-        return F.coalesce(F.when(self.is_text, self.text != "").otherwise(other), F.lit(False))
+        return F.col(f"_truthy_{self.name}")
 
     def text_or(self, default: Column | str, literal_null: bool = False) -> Column:
         """Text with a default for an absent field.
