@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from stocktide import contracts as C
 from stocktide.functions.numeric import finite
 from stocktide.functions.payload import Field, is_object, with_fields
+from stocktide.operators.contract_check import broken_rules
 
 MALFORMED = "MALFORMED"
 MISSING = "MISSING_REQUIRED"
 UNUSABLE = "UNUSABLE_VALUE"
 NOT_WANTED = "STATUS_NOT_OK"
+BROKEN = "CONTRACT_BROKEN"
 
 
 @dataclass(frozen=True)
@@ -70,15 +72,19 @@ CUSTOMER_RULES = Rules(
 )
 
 
-def _tagged(df: DataFrame, value: str, names, numbers, columns: list[Column], reason: Column) -> DataFrame:
-    """Add ``row`` and ``reason`` to the input columns."""
+def _tagged(df: DataFrame, value: str, names, numbers, columns: list[Column], reason: Column, *others: Column) -> DataFrame:
+    """Add ``row``, ``reason`` and ``others`` to the input columns."""
     return with_fields(df, value, names, numbers).select(
-        *df.columns, F.struct(*columns).alias("row"), reason.alias("reason")
+        *df.columns, F.struct(*columns).alias("row"), reason.alias("reason"), *others
     )
 
 
-def tag(df: DataFrame, rules: Rules, value: str = "value", compat: bool = False, keep_zero: bool = False) -> DataFrame:
-    """Apply rules. ``keep_zero`` counts a numeric zero as given (a truthiness test drops it)."""
+def tag(
+    df: DataFrame, rules: Rules, value: str = "value", compat: bool = False, keep_zero: bool = False, contract: dict | None = None,
+) -> DataFrame:
+    """Apply rules. ``keep_zero`` counts a numeric zero as given (a truthiness test drops it). With a ``contract``
+    over the same fields, its broken rules are listed in ``violations`` from the same parse, and a row that is
+    valid otherwise is rejected for them."""
     fields = {name: Field(name) for name in rules.order}
     out: dict[str, Column] = {}
     for name in rules.text:
@@ -107,7 +113,13 @@ def tag(df: DataFrame, rules: Rules, value: str = "value", compat: bool = False,
     reason = (
         F.when(~is_object(), MALFORMED).when(~complete, MISSING).when(~readable, UNUSABLE)
     )
-    return _tagged(df, value, rules.order, (*rules.whole, *rules.number), [out[name].alias(name) for name in rules.order], reason)
+    others = []
+    if contract is not None:
+        broken = broken_rules(contract)
+        reason = F.coalesce(reason, F.when(F.size(broken) > 0, BROKEN))
+        others = [broken.alias("violations")]
+    row = [out[name].alias(name) for name in rules.order]
+    return _tagged(df, value, rules.order, (*rules.whole, *rules.number), row, reason, *others)
 
 
 def tag_orders(df: DataFrame, **options) -> DataFrame:

@@ -7,6 +7,7 @@ Ties and times are made explicit so that results repeat.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ from stocktide.session import scratch_path, staged
 from stocktide.sources import messages as M
 from stocktide.sources import readers as R
 from stocktide.sources import writers as O
-from stocktide.streaming import ingest, state
+from stocktide.streaming import checked, ingest, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -913,6 +914,43 @@ def stream_three_sources(spark, d):
     return every.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _checked(spark, d, again: bool) -> str:
+    """Orders taken in with all checks, in four batches by time of arrival. Third lines arrive three days late;
+    with ``again`` even stores' messages are delivered once more with the next batch."""
+    messages = S.order_messages(spark, d)
+    order, when = (F.get_json_object(F.col("value").cast("string"), f"$.{n}") for n in ("order_id", "event_time"))
+    first = F.lit("1992-01-01").cast("timestamp")
+    days = F.when(order.endswith("-3"), F.lit(3)).otherwise(F.lit(0))
+    published = F.coalesce(F.try_to_timestamp(when), first) + F.make_interval(days=days)
+    batch = F.least(F.greatest((F.year(published) - 1992) / 2, F.lit(0)), F.lit(3)).cast("int")
+    sent = messages.select("value", F.lit(None).cast("map<string,string>").alias("attributes"), published.alias("publish_time")).withColumn("batch", batch)
+    if again:
+        store = F.get_json_object(F.col("value").cast("string"), "$.store_id").cast("long")
+        sent = sent.unionByName(sent.where(store % 2 == 0).withColumn("batch", F.least(F.col("batch") + 1, F.lit(3))))
+    dealt, topic, root = (scratch_path(spark, n) for n in ("dealt", "topic", "checked"))
+    sent.repartition("batch").write.partitionBy("batch").parquet(dealt)
+    for number in range(4):
+        spark.read.parquet(dealt).where(F.col("batch") == number).drop("batch").coalesce(1).write.mode("append").parquet(topic)
+    # order ids of these tables are not unique, so an event is told by all its fields
+    kinds = {"orders": replace(checked.KINDS["orders"], ids=V.ORDER_RULES.order)}
+    stream = R.read_messages(spark, topic, files_per_batch=1)
+    ingest.drained(checked.ingest_checked({"orders": stream}, root, kinds=kinds, once=True))
+    return root
+
+
+@query
+def stream_checked_orders(spark, d):
+    """Orders that keep the contract, without repeats, with late ones tagged."""
+    return spark.read.parquet(f"{_checked(spark, d, again=True)}/raw/orders").select("order_id", "store_id", "is_late")
+
+
+@query
+def stream_checked_rejects(spark, d):
+    """Orders that were not taken in, by reason."""
+    rejected = spark.read.parquet(f"{_checked(spark, d, again=False)}/rejected/orders")
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query
 def stream_closed_windows(spark, d):
     """Windows that the watermark has closed after the replay."""

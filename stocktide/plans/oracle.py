@@ -346,7 +346,7 @@ def moment(n: str) -> tuple[str, str]:
     )
 
 
-ORDER_CODES = fields(ORDER_MESSAGES, *ORDER_FIELDS) + codes(
+ORDER_BREAKS = (
     [required(n) for n in ("order_id", "store_id", "product_id", "quantity", "price", "event_time")]
     + [is_text(n) for n in ("order_id", "store_id", "product_id", "customer_id", "event_time", "status")]
     + [
@@ -354,6 +354,19 @@ ORDER_CODES = fields(ORDER_MESSAGES, *ORDER_FIELDS) + codes(
         moment("event_time"), one_of("status", "COMPLETED", "RETURNED", "CANCELLED"),
     ]
 )
+ORDER_CODES = fields(ORDER_MESSAGES, *ORDER_FIELDS) + codes(ORDER_BREAKS)
+ORDER_BROKEN = " OR ".join(f"({condition})" for _, condition in ORDER_BREAKS)
+CHECKED_ORDERS = fields(ORDER_MESSAGES, *ORDER_FIELDS) + f""", timed AS (
+    SELECT order_id_s AS order_id, store_id_s AS store_id, CAST(substring(event_time_s, 1, 10) AS TIMESTAMP) AS ts,
+        CASE WHEN order_id_s LIKE '%-3' THEN 3 ELSE 0 END AS days, product_id_s, quantity_s, price_s, customer_id_s, status_s
+    FROM f WHERE is_object AND {ORDER_REQUIRED} AND {ORDER_READABLE} AND NOT COALESCE({ORDER_BROKEN}, false)),
+    seen AS (SELECT *, MAX(ts) OVER (PARTITION BY store_id ORDER BY ts + days * INTERVAL '1 day', order_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS peak FROM (SELECT DISTINCT * FROM timed))
+    SELECT order_id, store_id, COALESCE(ts < peak - INTERVAL '120 seconds', false) AS is_late FROM seen"""
+CHECKED_REJECTS = fields(ORDER_MESSAGES, *ORDER_FIELDS) + f"""SELECT reason, COUNT(*) AS messages FROM (
+    SELECT CASE WHEN NOT is_object THEN 'MALFORMED' WHEN NOT ({ORDER_REQUIRED}) THEN 'MISSING_REQUIRED'
+    WHEN NOT ({ORDER_READABLE}) THEN 'UNUSABLE_VALUE' WHEN {ORDER_BROKEN} THEN 'CONTRACT_BROKEN' END AS reason FROM f)
+    WHERE reason IS NOT NULL GROUP BY 1"""
 INVENTORY_CODES = fields(INVENTORY_MESSAGES, *INVENTORY_FIELDS) + codes(
     [required(n) for n in ("store_id", "product_id", "quantity_on_hand", "event_time")]
     + [is_text(n) for n in ("store_id", "product_id", "last_restocked", "supplier_id", "event_time")]
@@ -655,6 +668,8 @@ def statements() -> dict[str, str]:
         "stream_every_second": TELEMETRY_OK,
         "stream_dead_letters": ORDER_OUTCOMES,
         "stream_three_sources": _three_sources(),
+        "stream_checked_orders": CHECKED_ORDERS,
+        "stream_checked_rejects": CHECKED_REJECTS,
         "stream_closed_windows": READINGS + f" SELECT * FROM ({windows('readings', '1 hour')}) WHERE true{CLOSED}",
         "stream_window_updates": READINGS + " " + windows("readings", "1 hour"),
         "stream_window_panes": PANES,
