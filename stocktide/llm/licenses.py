@@ -5,7 +5,9 @@ the whole text are compared with templates: opening sentences, standard headers
 whole texts, full licences (``license_texts``). In a whole text the frequency of a term
 counts by its logarithm, or common words would make all long texts alike. Inverse document frequencies come from all documents and never reach
 zero, so a licence line keeps its weight however many documents have it; a term of no
-template counts as one no document has. Lines and groups without any of the rare terms that a
+template counts as one no document has. A copyright notice has a gap for year and holder: it is compared by its other
+terms and has to begin with the word copyright and one to eight terms in the gap, so the footer "All rights
+reserved" alone is none; it counts only where no other licence is found. Lines and groups without any of the rare terms that a
 similarity of ``LIKE`` needs are left out before they are compared. A file that is a licence file, by its name
 or because licence lines make up much of it, speaks for its directory. A file without
 a licence of its own inherits from the nearest ancestor directory that has one.
@@ -45,8 +47,10 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("MIT", "Released under the MIT License"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("Proprietary", "Copyright. All rights reserved"),
+    ("Proprietary", "Copyright. All rights reserved"),  # with a gap for year and holder
 ]
+NOTICE = "Proprietary"
+NOTICE_FORM = r"^(?:c )?copyright (?:c )?+(?:\S+ ){1,8}?all rights"  # terms joined by spaces
 
 #: Headers as their licences ask for them; they stand on one line or on several.
 _GNU = (
@@ -169,7 +173,7 @@ def scan(files: DataFrame, templates: list | None = None, like: float = LIKE, fu
     """One row per row of ``files`` (path, text and others): with ``license``, ``cosine`` and ``line`` of its most
     similar licence line or group of lines (its first line), all null where there is none, and ``file_share``.
 
-    A whole text that is like a full licence has that licence, from line 0. Ties go to the first
+    A whole text that is like a full licence has that licence, from line 0; a copyright notice gives way to any licence. Ties go to the first
     line, then to the first template. A null or empty text has no licence.
     """
     spark = files.sparkSession
@@ -208,26 +212,37 @@ def scan(files: DataFrame, templates: list | None = None, like: float = LIKE, fu
     groups = begun.withColumn("many", F.explode(F.array(*map(F.lit, GROUPS)))).filter(F.col("at") + F.col("many") <= F.size("lines"))
     groups = groups.select("uid", "line", "many", F.flatten(F.expr("slice(lines, at + 1, many)")["terms"]).alias("terms"))
     groups = groups.filter((F.col("many") == 1) | (F.size("terms") <= MOST_TERMS)).filter(F.arrays_overlap("terms", needed))
-    whole = rows.filter("every is not null").select("uid", F.lit(0).alias("line"), F.lit(0).alias("many"), F.col("every").alias("terms"))
-    unit = ["uid", "line", "many"]
+    noticed = F.array_contains("terms", "reserved") & F.array_join("terms", " ").rlike(NOTICE_FORM)
+    groups = groups.withColumn("noticed", noticed)
+    whole = rows.filter("every is not null").select(
+        "uid", F.lit(0).alias("line"), F.lit(0).alias("many"), F.col("every").alias("terms"), F.lit(False).alias("noticed")
+    )
+    unit = ["uid", "line", "many", "noticed"]
     counted = groups.unionAll(whole).select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("tf"))
     known = spark.createDataFrame(sorted(weights.items()), "term string, weight double")
     tf = F.when(F.col("many") == 0, 1 + F.log(F.col("tf").cast("double"))).otherwise(F.col("tf"))
     vectors = counted.join(known, "term", "left").withColumn("value", tf * F.coalesce("weight", F.lit(unseen)))
-    norms = vectors.groupBy(*unit).agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"), F.sum("tf").alias("n"))
+    notice = sorted({t for name, text in templates if name == NOTICE for t in re.findall(TERM, text.lower())})
+    squared = F.col("value") * F.col("value")
+    norms = vectors.groupBy(*unit).agg(
+        F.sqrt(F.sum(squared)).alias("norm"), F.sum("tf").alias("n"),
+        F.sqrt(F.sum(F.when(F.col("term").isin(notice), squared))).alias("notice_norm"),
+    )
     sides = template_vectors(spark, templates, shares).withColumn("whole", F.lit(False)).unionAll(
         template_vectors(spark, full, whole_shares).withColumn("whole", F.lit(True))
     )
     dots = vectors.withColumn("whole", F.col("many") == 0).join(sides, ["term", "whole"]).groupBy(*unit, "form", "license").agg(
         F.sum(F.col("value") * F.col("share")).alias("dot")
     )
-    alike = dots.join(norms, unit).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("cosine") >= like)
+    is_notice = F.col("license") == NOTICE
+    against = F.when(~is_notice, F.col("norm")).when(F.col("noticed"), F.col("notice_norm"))
+    alike = dots.join(norms, unit).withColumn("cosine", F.round(F.col("dot") / against, 9)).filter(F.col("cosine") >= like)
     best_of_unit = alike.groupBy(*unit).agg(
-        F.max(F.struct("cosine", (-F.col("form")).alias("form"), "license")).alias("best"), F.first("n").alias("n")
+        F.max(F.struct((~is_notice).alias("granted"), "cosine", (-F.col("form")).alias("form"), "license")).alias("best"), F.first("n").alias("n")
     )
     best = best_of_unit.groupBy("uid").agg(
         F.max(F.struct(
-            (F.col("many") == 0).alias("whole"), "best.cosine", (-F.col("line")).alias("line"), (-F.col("many")).alias("many"),
+            (F.col("many") == 0).alias("whole"), "best.granted", "best.cosine", (-F.col("line")).alias("line"), (-F.col("many")).alias("many"),
             "best.form", "best.license", "n",
         )).alias("found"),
         F.coalesce(F.sum(F.when(F.col("many") == 1, F.col("n"))), F.lit(0)).alias("inside"),

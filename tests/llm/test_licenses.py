@@ -82,3 +82,21 @@ def test_headers_tags_and_whole_licences(spark):
     got = {r["path"]: r["license"] for r in licenses.scan(spark.createDataFrame(around + plain, "path string, text string")).collect()}
     assert {p: got[p] for p in wanted} == {p: name for p, (name, _) in wanted.items()}
     assert all(got[p] is None for p, _ in plain)
+
+
+def test_notices_need_a_year_or_holder_and_give_way(spark):
+    wanted = {
+        "footer": ("All rights reserved.", None), "bare": ("Copyright (c). All rights reserved.", None),
+        "holder": ("Copyright Acme Widgets Ltd. All rights reserved.", "Proprietary"),
+        "year": ("# Copyright (c) 2031 All Rights Reserved", "Proprietary"),
+        "two_lines": ("Copyright 2011-2013 The Frobnicate Authors\nAll rights reserved.", "Proprietary"),
+        "bsd": ("Copyright 2011 Some One. All rights reserved.\n\nRedistribution and use in source and binary forms, with or "
+                "without modification, are permitted provided", "BSD-3-Clause"),
+        "prose": ("the copyright office says that all the members of this long list of people hold some rights that nobody reserved", None),
+        "empty": ("", None), "long": ("Copyright " + "x" * 2_000_000 + "\nAll rights reserved." + " word" * 100_000, None),
+    }
+    files = [(path, f"import os\n{text}\n\nreturn 1" if text else text) for path, (text, _) in wanted.items()] + _files(random.Random(3), 30, 0)
+    rows = spark.createDataFrame(files + [("null", None)], "path string, text string")
+    got = {r["path"]: r["license"] for r in licenses.scan(rows).collect()}
+    assert {p: got[p] for p in wanted} == {p: name for p, (_, name) in wanted.items()}
+    assert got["null"] is None
