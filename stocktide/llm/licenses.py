@@ -192,12 +192,18 @@ def scan(files: DataFrame, templates: list | None = None, like: float = LIKE, fu
     ours = F.array_intersect(every, _listed(sorted(weights)))
 
     def possible(vectors: list) -> Column:
-        """The text has the terms that a line, a group or a whole text similar to one of the templates has."""
+        """The text has the terms that a line, a group or a whole text similar to one of the templates has.
+
+        Each template is only looked at in texts with a telling term of any, and counted in those with one of its own.
+        """
+        if not vectors:
+            return F.lit(False)
         found = F.lit(False)
         for vector in vectors:
+            own = F.arrays_overlap("ours", _listed(telling_terms([vector], weights, like)))
             both = F.array_intersect("ours", _listed(sorted(vector)))
-            found = found | ((F.size(both) >= fewest_terms(vector, like)) & F.arrays_overlap("ours", _listed(telling_terms([vector], weights, like))))
-        return found
+            found = found | F.when(own, F.size(both) >= fewest_terms(vector, like)).otherwise(F.lit(False))
+        return F.when(F.arrays_overlap("ours", _listed(telling_terms(vectors, weights, like))), found).otherwise(F.lit(False))
 
     rows = files.withColumns({"uid": F.monotonically_increasing_id(), "every": every}).withColumns(
         {"ours": ours, "terms_in_all": F.size("every")}
