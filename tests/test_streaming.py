@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stocktide.operators import validate as V
 from stocktide.operators import windows as W
 from stocktide.sources import readers as R
+from stocktide.streaming import checked
 from stocktide.streaming import ingest as I
 from stocktide.streaming import state as S
 
@@ -127,6 +128,26 @@ def test_three_sources_with_dead_letters(spark, tmp_path):
     assert dead == {"orders": 2, "inventory": 1, "customers": 0}
 
 
+def test_checked_ingestion(spark, tmp_path):
+    def order(number, minute, **other):
+        return {"order_id": number, "store_id": "s", "product_id": "p", "quantity": 1, "price": 2.5, "customer_id": "c",
+                "event_time": f"2026-01-01T00:{minute:02}:00Z", "status": "COMPLETED", **other}
+
+    publish(spark, tmp_path / "orders", [
+        [order("a", 10), order("b", 20), order("c", 0, quantity="2"), "bad"],
+        [order("a", 10), order("d", 5), order("e", 19), order("f", 30, status="LOST", quantity=3.7)],
+    ])
+    stream = R.read_messages(spark, str(tmp_path / "orders"), files_per_batch=1)
+    I.drained(checked.ingest_checked({"orders": stream}, f"{tmp_path}/lake", once=True))
+    assert rows(spark.read.parquet(f"{tmp_path}/lake/raw/orders"), "order_id", "is_late") == [
+        ("a", False), ("b", False), ("d", True), ("e", False),
+    ]
+    dead = spark.read.parquet(f"{tmp_path}/lake/rejected/orders").select("reason", F.array_join("violations", " ").alias("violations"))
+    assert rows(dead, "reason", "violations") == [
+        ("CONTRACT_BROKEN", "quantity:type"), ("CONTRACT_BROKEN", "quantity:type status:enum"), ("MALFORMED", "document:type"),
+    ]
+
+
 def test_current_rows_equal_the_batch_result(spark, tmp_path):
     topic, out = tmp_path / "topic", f"{tmp_path}/out"
     publish(spark, topic, [[reading("a", 5, 1.0), reading("b", 1, 1.0)], [reading("a", 3, 2.0)], [reading("b", 9, 3.0)]])
