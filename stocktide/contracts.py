@@ -71,3 +71,4 @@ DEVICE_REPORT = "Device: %s | AvgTemp: %.2f"
 # ---------------------------------------------------------------------------
 TARGET_FILE_BYTES = 128 << 20
 JOIN_BUCKETS = 16
+STORE_GROUPS = 64  # folders of a stock table by groups of stores; kept for the life of the table

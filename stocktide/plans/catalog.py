@@ -1075,7 +1075,7 @@ def _two_nights(spark, d):
     prefix = f"night_{root[-32:]}_"
     inputs = (S.raw_orders(spark, d), S.raw_inventory(spark, d), S.raw_customers(spark, d))
     for night in (F.col("event_time") < CUT, F.col("event_time") >= CUT):
-        done = run_curated(spark, *[rows.where(night) for rows in inputs], root, ["seq"], sales_by="month", prefix=prefix)
+        done = run_curated(spark, *[rows.where(night) for rows in inputs], root, ["seq"], sales_by="month", prefix=prefix, stock_by="store_group")
     return done
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stocktide import contracts as C
+from stocktide.functions.times import stable_bucket
 from stocktide.operators import aggregates, curation, quality
 from stocktide.session import staged
 from stocktide.sources.writers import balanced, replace_days
@@ -40,13 +42,14 @@ def _switch(spark: SparkSession, name: str, path: str, schema: T.StructType) ->
 
 def run_curated(
     spark: SparkSession, orders: DataFrame, inventory: DataFrame, customers: DataFrame, root: str,
-    tie: list[str], stock_once: bool = False, sales_by: str = "date", prefix: str = "",
+    tie: list[str], stock_once: bool = False, sales_by: str = "date", prefix: str = "", stock_by: str = "store_id",
 ) -> Curated:
     """Daily sales, current stock, customer profiles, product performance, store revenue.
 
     All five are written beside the published ones first, and the job that writes a table counts the rows that
     break its rules. A broken rule in any of them fails the run and leaves all five as they were. Publishing then
-    replaces the days (or months, with ``sales_by="month"`` for a long history of thin days) and stores that
+    replaces the days (or months, with ``sales_by="month"`` for a long history of thin days) and stores (or groups of
+    stores, with ``stock_by="store_group"`` for more stores than a table should have folders) that
     occur in the new rows, each in one job, and lets the other three, catalog tables named with ``prefix``, read their new
     folders. A run that dies while it publishes is healed by running it again: nothing is added twice.
     """
@@ -73,10 +76,13 @@ def run_curated(
     sales = untouched.unionByName(daily)
 
     news = staged(curation.latest_inventory(inventory, tie), "stock")
-    stores, old_stock = news.select("store_id").distinct(), before(stock_path, curation.INVENTORY_COLUMNS)
-    touched = curation.merge_inventory(old_stock.join(stores, "store_id", "left_semi"), news)
-    touched = beside("inventory_by_store", touched, "store_id")
-    stock = old_stock.join(stores, "store_id", "left_anti").unionByName(touched)
+    group, stock_columns = {}, curation.INVENTORY_COLUMNS
+    if stock_by == "store_group":
+        group, stock_columns = {"store_group": stable_bucket(F.col("store_id"), C.STORE_GROUPS)}, f"{stock_columns}, store_group int"
+    stores, old_stock = news.withColumns(group).select(stock_by).distinct(), before(stock_path, stock_columns)
+    touched = curation.merge_inventory(old_stock.join(stores, stock_by, "left_semi").drop(*group), news)
+    touched = beside("inventory_by_store", touched.withColumns(group), stock_by)
+    stock = old_stock.join(stores, stock_by, "left_anti").unionByName(touched)
 
     old_people = spark.table(people_name) if started else spark.createDataFrame([], curation.CUSTOMER_COLUMNS)
     whole = {"customer_360": curation.merge_customers(old_people, curation.latest_customers(customers, tie))}
@@ -86,7 +92,7 @@ def run_curated(
     quality.require_watched(seen)
 
     replace_days(daily, sales_path, [sales_by])
-    replace_days(touched, stock_path, ["store_id"])
+    replace_days(touched, stock_path, [stock_by])
     for table in ("product_performance", "daily_store_revenue", "customer_360"):
         _switch(spark, prefix + table, f"{root}/{table}-{run}", whole[table].schema)
     return Curated(

@@ -78,6 +78,25 @@ def test_only_stores_with_news_are_rewritten(spark, tmp_path, prefix):
     assert done.sales_daily.count() == 2 and done.product_performance.first()["quantity_in_stock"] == 14
 
 
+def test_many_stores_lie_in_a_bounded_number_of_folders(spark, tmp_path, prefix):
+    root = f"file://{tmp_path}/lake"
+    sold, _, people = tables(spark)
+    stock = spark.range(300).selectExpr(
+        "concat('s', id) AS store_id", "'p' AS product_id", "int(id) AS quantity_on_hand", f"'{DAY1}' AS event_time", "'x' AS supplier_id", "id AS seq"
+    )
+    run_curated(spark, sold, stock, people, root, ["seq"], prefix=prefix, stock_by="store_group")
+    folder = tmp_path / "lake" / "inventory_by_store"
+    files = {f.name: sorted(os.listdir(f)) for f in folder.glob("store_group=*")}
+    assert 1 < len(files) <= 64
+    news = spark.createDataFrame([("s7", "p", 1000, DAY2, "y", 900), ("new", "p", 2000, DAY2, "y", 901)], STOCK)
+    done = run_curated(spark, sold.limit(0), news, people, root, ["seq"], prefix=prefix, stock_by="store_group")
+    want = {(f"s{i}", "p", i, DAY1, "x") for i in range(300) if i != 7} | {("s7", "p", 1000, DAY2, "y"), ("new", "p", 2000, DAY2, "y")}
+    got = list(map(tuple, done.inventory_by_store.collect()))
+    assert len(got) == 301 and set(got) == want
+    now = {f.name: sorted(os.listdir(f)) for f in folder.glob("store_group=*")}
+    assert 1 <= sum(now[name] != files.get(name) for name in now) <= 2  # only the groups of the two stores
+
+
 @pytest.mark.parametrize("bad", ["price", "stock", "customer"])
 def test_a_broken_rule_leaves_all_tables_as_they_were(spark, tmp_path, prefix, bad):
     root = f"file://{tmp_path}/lake"
