@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stocktide.operators import validate as V
 from stocktide.operators import windows as W
+from stocktide.plans import catalog
 from stocktide.sources import readers as R
 from stocktide.streaming import checked
 from stocktide.streaming import ingest as I
@@ -229,6 +230,21 @@ def test_folded_log_keeps_the_newest_rows(spark, tmp_path):
     assert len(runs.newest(20)) == 4 and len(os.listdir(tmp_path / "newest")) == 3
 
 
+@pytest.mark.parametrize("again", [False, True])
+def test_checked_orders_arrive_in_batches_of_many_files(spark, sf_dir, monkeypatch, again):
+    seen, real = [], R.read_messages
+
+    def read(spark, topic, files_per_batch=None):
+        files = spark.read.parquet(topic).select("_metadata.file_path").distinct().count()
+        seen.append((files, files_per_batch))
+        return real(spark, topic, files_per_batch)
+
+    monkeypatch.setattr(catalog.R, "read_messages", read)
+    catalog._checked(spark, sf_dir, again)
+    files = [n for n, _ in seen]
+    assert len(files) == 4 and all(b - a > 1 for a, b in zip([0, *files], files)) and all(most is None for _, most in seen)
+
+
 def test_late_rows_land_on_their_own_day(spark, tmp_path):
     topic, out = tmp_path / "topic", f"{tmp_path}/out"
     day = 86_400
