@@ -230,6 +230,23 @@ def test_folded_log_keeps_the_newest_rows(spark, tmp_path):
     assert len(runs.newest(20)) == 4 and len(os.listdir(tmp_path / "newest")) == 3
 
 
+def test_a_batch_that_completes_levels_is_written_once(spark, tmp_path):
+    runs = S.current_runs(str(tmp_path), ["k"], [F.col("v")], width=2)
+    for number in range(8):
+        runs.append(spark.createDataFrame([(number % 3, number)], "k int, v int").coalesce(1), number)
+        assert sorted(map(tuple, runs.read(spark).collect())) == sorted((k, max(v for v in range(number + 1) if v % 3 == k)) for k in range(min(number + 1, 3)))
+    written = sorted(f"{level.name}/{run.name}" for level in tmp_path.glob("level*") for run in level.iterdir())
+    assert written == ["level0/run0", "level0/run2", "level0/run4", "level0/run6", "level1/run0", "level1/run2", "level2/run0", "level3/run0"]
+
+
+def test_messages_of_few_files_are_dealt_to_all_cores(spark, tmp_path):
+    publish(spark, tmp_path / "topic", [[reading("a", n, 1.0) for n in range(40)]])
+    tasks = []
+    stream = R.dealt(R.read_messages(spark, str(tmp_path / "topic"), files_per_batch=1))
+    I.drained(I.consume(stream, lambda batch, number: tasks.append((batch.rdd.getNumPartitions(), batch.count())), f"{tmp_path}/cp", once=True))
+    assert tasks[0] == (spark.sparkContext.defaultParallelism, 40)
+
+
 @pytest.mark.parametrize("again", [False, True])
 def test_checked_orders_arrive_in_batches_of_many_files(spark, sf_dir, monkeypatch, again):
     seen, real = [], R.read_messages
