@@ -32,11 +32,14 @@ def decode(message: Column, binary: bool = True) -> Column:
     return F.try_parse_json(message.cast("string") if binary else message)
 
 
-def with_fields(df: DataFrame, value: str, names: Iterable[str], numbers: Iterable[str] = ()) -> DataFrame:
+def with_fields(
+    df: DataFrame, value: str, names: Iterable[str], numbers: Iterable[str] = (), truthy: Iterable[str] | None = None
+) -> DataFrame:
     """Parse a message column once and add what the fields hold.
 
-    Per field: ``_kind_*``, ``_text_*``, ``_number_*`` (is it one) and ``_truthy_*``; for the ``numbers`` also ``_long_*`` and
-    ``_double_*``. ``_object`` tells whether the message is a JSON object at all.
+    Per field: ``_kind_*``, ``_text_*``, ``_number_*`` (is it one) and ``_truthy_*`` (only for the fields ``truthy``, where
+    it is given: what nobody asks for is left out of the generated method, which the JVM compiles only up to 8,000 bytes);
+    for the ``numbers`` also ``_long_*`` and ``_double_*``. ``_object`` tells whether the message is a JSON object at all.
 
     The message is cut into its fields in one pass: a struct of VARIANT fields is null for
     anything but an object, and a field of it is null where the object has no such key.
@@ -45,7 +48,7 @@ def with_fields(df: DataFrame, value: str, names: Iterable[str], numbers: Iterab
     on something derived from them would otherwise be pushed below the parsing, which then
     runs again for every mention of a field.
     """
-    names, numbers = list(names), list(numbers)
+    names, numbers, truthy = list(names), list(numbers), truthy if truthy is None else list(truthy)
     shape = ", ".join(f"`{name}`: variant" for name in names)
     parsed = df.withColumn("_doc", F.try_variant_get(decode(F.col(value)), "$", f"struct<{shape}>"))
     read = {"_object": F.col("_doc").isNotNull()}
@@ -60,6 +63,8 @@ def with_fields(df: DataFrame, value: str, names: Iterable[str], numbers: Iterab
         kind, text = F.col(f"_kind_{name}"), F.col(f"_text_{name}")
         number = kind.isin(*NUMERIC_KINDS) | kind.startswith(DECIMAL_KIND)
         judged[f"_number_{name}"] = number
+        if truthy is not None and name not in truthy:
+            continue
         judged[f"_truthy_{name}"] = F.coalesce(
             F.when(kind == "STRING", text != "").when(number, text.rlike(NOT_ZERO)).otherwise((kind == "BOOLEAN") & (text == "true")),
             F.lit(False),

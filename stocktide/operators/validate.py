@@ -72,9 +72,9 @@ CUSTOMER_RULES = Rules(
 )
 
 
-def _tagged(df: DataFrame, value: str, names, numbers, columns: list[Column], reason: Column, *others: Column) -> DataFrame:
+def _tagged(df: DataFrame, value: str, names, numbers, truthy, columns: list[Column], reason: Column, *others: Column) -> DataFrame:
     """Add ``row``, ``reason`` and ``others`` to the input columns."""
-    return with_fields(df, value, names, numbers).select(
+    return with_fields(df, value, names, numbers, truthy).select(
         *df.columns, F.struct(*columns).alias("row"), reason.alias("reason"), *others
     )
 
@@ -119,7 +119,8 @@ def tag(
         reason = F.coalesce(reason, F.when(F.size(broken) > 0, BROKEN))
         others = [broken.alias("violations")]
     row = [out[name].alias(name) for name in rules.order]
-    return _tagged(df, value, rules.order, (*rules.whole, *rules.number), row, reason, *others)
+    asked = (*rules.required, *dict(rules.fallback))
+    return _tagged(df, value, rules.order, (*rules.whole, *rules.number), asked, row, reason, *others)
 
 
 def tag_orders(df: DataFrame, **options) -> DataFrame:
@@ -162,7 +163,7 @@ def tag_telemetry(df: DataFrame, value: str = "value", compat: bool = False) ->
         .when(~wanted, NOT_WANTED)
         .when(warmth.isNull() | moisture.isNull(), UNUSABLE)
     )
-    return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, columns, reason)
+    return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, ("device_id",), columns, reason)
 
 
 def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
@@ -186,7 +187,7 @@ def tag_readings(df: DataFrame, value: str = "value") -> DataFrame:
         .when(~device.truthy() | ~stamp.truthy(), MISSING)
         .when(ts.isNull() | device.as_text().isNull() | spoiled, UNUSABLE)
     )
-    return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, columns, reason)
+    return _tagged(df, value, SENSOR_FIELDS, SENSOR_NUMBERS, ("device_id", "timestamp"), columns, reason)
 
 
 def valid(tagged: DataFrame) -> DataFrame:

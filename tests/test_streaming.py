@@ -262,6 +262,15 @@ def test_checked_orders_arrive_in_batches_of_many_files(spark, sf_dir, monkeypat
     assert len(files) == 4 and all(b - a > 1 for a, b in zip([0, *files], files)) and all(most is None for _, most in seen)
 
 
+@pytest.mark.parametrize("tag", [V.tag_orders, V.tag_inventory, V.tag_customers, V.tag_telemetry, V.tag_readings])
+def test_reading_of_messages_is_small_enough_to_be_compiled(spark, tag):
+    messages = spark.createDataFrame([], R.MESSAGE_SCHEMA)
+    made = spark.createDataFrame([(bytearray(b"{}"), None, None)], R.MESSAGE_SCHEMA).unionByName(messages)
+    for df in (tag(made), V.valid(tag(made)), V.rejected(tag(made))):
+        found = df._jdf.queryExecution().debug().codegenToSeq()
+        assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())) < 8000
+
+
 def test_late_rows_land_on_their_own_day(spark, tmp_path):
     topic, out = tmp_path / "topic", f"{tmp_path}/out"
     day = 86_400
