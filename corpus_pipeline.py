@@ -25,7 +25,8 @@ def keep_one_of_equal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group joined by five-word Jaccard similarity of 0.8 the row with the smallest id stays."""
+    """Of each group joined by five-word Jaccard similarity of 0.8, looked for by Golay keys of fingerprints
+    and by bands, the row with the smallest id stays."""
     return jaccard.kept_rows(docs)
 
 

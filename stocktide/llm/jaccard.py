@@ -1,16 +1,17 @@
 """Near-duplicates by what they share: Jaccard similarity of sets of five-word shingles, links from ``ALIKE``.
 
-Texts with equal sets are one node. Candidates share one of 32 bands of four MinHash values (a pair
-at similarity 0.8 shares none once in about 10^7 pairs, a more similar pair still less often) and agree
-in 0.6 of all 128 values (5.7 standard deviations below 0.8). What such pairs join is a cluster, and every
-link inside a cluster is decided by the whole sets.
+Texts with equal sets are one node. Candidates come first from op7's fingerprints, which Golay-code keys join
+within four differing bits. At similarity 0.8 fingerprints often differ in more bits, so candidates are also pairs that share
+one of 32 bands of four MinHash values (a pair at similarity 0.8 shares none once in about 10^7 pairs, a
+more similar pair still less often) and agree in 0.6 of all 128 values (5.7 standard deviations below 0.8).
+What either joins is a cluster, and every link inside a cluster is decided by the whole sets.
 
 Bands and clusters are joined in the same way (``joined``). Rows meet in cells of at most two blocks, and a
 cell returns a spanning forest: one row that was compared with all others for each link, at most as many
-links as rows, and never its pairs. Rows joined already aren't compared, so the rows outside the largest part
-of a cell are the ones that are. A group larger than a block is first joined block by block, with some rows of
-the group in every block; then only what is outside its largest part meets the rest of the group. A set
-is sent once for each cell of its cluster, however many bands it shares.
+links as rows, and never its pairs. Rows joined already (in bands: by fingerprints or before) aren't compared, so
+the rows outside the largest part of a cell are the ones that are. A group larger than a block is first joined
+block by block, with some rows of the group in every block; then only what is outside its largest part meets the
+rest of the group. A set is sent once for each cell of its cluster, however many bands it shares.
 
 Nulls and texts without words are one node, texts shorter than five words have one shingle. A null id is
 kept and comes first where one row of a group stays; equal rows are one row there. Very long texts are
@@ -73,27 +74,30 @@ def node_of(hashes: np.ndarray) -> int:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, node, mark (a byte of each MinHash value), bands (their keys) for every row, written once."""
+    """doc_id, text_key, node, fp (op7's fingerprint, signed), mark (a byte of each MinHash value), bands (their keys)
+    for every row, written once."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made, marks, bands = [], [], []
+        made, prints, marks, bands = [], [], [], []
         for text in texts(batch.column("text")):
             hashes = shingles(text)
             low = signature(hashes)
             made.append(node_of(hashes))
+            prints.append(simhash.fingerprint(text))
             marks.append((low >> np.uint64(40)).astype(np.uint8).tobytes())
             pairs = (low >> np.uint64(32)).astype("<u4").view("<u8").reshape(BANDS, 2)
             keys = pairs * _MIX
             bands.append(((keys[:, 0] ^ (keys[:, 1] >> np.uint64(29))) * _MIX[:, 1] + keys[:, 1]).view(np.int64))
         flat = np.concatenate(bands) if bands else np.empty(0, np.int64)
         listed = pa.ListArray.from_arrays(pa.array(np.arange(len(made) + 1, dtype=np.int32) * BANDS), pa.array(flat))
+        signed = pa.array(np.array(prints, np.uint64).view(np.int64))
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(made, pa.int64()), pa.array(marks, pa.binary()), listed],
-            names=["doc_id", "text_key", "node", "mark", "bands"],
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(made, pa.int64()), signed, pa.array(marks, pa.binary()), listed],
+            names=["doc_id", "text_key", "node", "fp", "mark", "bands"],
         )
 
     rows = narrow(docs).withColumn("text_key", text_key())
-    return staged(over_batches(rows, work, "doc_id bigint, text_key bigint, node bigint, mark binary, bands array<bigint>"), "shingle-nodes")
+    return staged(over_batches(rows, work, "doc_id bigint, text_key bigint, node bigint, fp bigint, mark binary, bands array<bigint>"), "shingle-nodes")
 
 
 class Marks:
@@ -179,6 +183,12 @@ def _links_of_cells(cells: DataFrame, payload: DataFrame, kind: type) -> DataFra
     return rows.repartition(tasks, "cell").sortWithinPartitions("cell", "node").mapInArrow(work, "a bigint, b bigint").distinct()
 
 
+def in_fragments(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` (node) with the ``fragment`` that ``labels`` (node, component) put each into, or one of its own."""
+    labels = labels.select("node", F.col("component").alias("fragment"))
+    return rows.join(labels, "node", "left").withColumn("fragment", F.coalesce("fragment", "node"))
+
+
 def _blocks(rows: Column, items: Column, block: int) -> Column:
     return F.greatest(F.ceil(rows / block), F.ceil(items / ITEMS)).cast("int")
 
@@ -187,23 +197,27 @@ def _every(blocks: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), blocks - 1))
 
 
-def joined(members: DataFrame, payload: DataFrame, kind: type, label: str, block: int = BLOCK) -> DataFrame:
-    """Stored links (a, b) that join what is alike inside each group of ``members`` (grp, node, items)."""
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("items").alias("all_items")).filter("n > 1")
-    sizes = sizes.select("grp", _blocks(F.col("n"), F.col("all_items"), block).alias("blocks"))
+def joined(members: DataFrame, payload: DataFrame, kind: type, label: str, block: int = BLOCK, known: DataFrame | None = None) -> DataFrame:
+    """Stored links (a, b) that join what is alike inside each group of ``members`` (grp, node, fragment, items). Rows of
+    one ``fragment`` aren't compared: the links ``known``, which are not returned, join them already."""
+    sizes = members.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("items").alias("all_items"), (F.min("fragment") < F.max("fragment")).alias("apart")
+    )
+    sizes = sizes.filter("apart").select("grp", _blocks(F.col("n"), F.col("all_items"), block).alias("blocks"))
     grouped = staged(members.join(sizes, "grp"), f"{label}-members")
     own = F.pmod(F.xxhash64("grp", "node"), F.col("blocks")).cast("int")
     large = grouped.filter("blocks > 1")
-    heads = large.groupBy("grp", F.pmod(F.xxhash64("node"), F.lit(HEADS)).alias("slot")).agg(F.min("node").alias("node"), F.first("blocks").alias("blocks"))
-    first = grouped.select(F.xxhash64("grp", own).alias("cell"), "node").unionAll(
-        heads.select("grp", "node", _every(F.col("blocks")).alias("block")).select(F.xxhash64("grp", "block").alias("cell"), "node")
+    heads = large.groupBy("grp", F.pmod(F.xxhash64("node"), F.lit(HEADS)).alias("slot")).agg(
+        F.min(F.struct("node", "fragment")).alias("head"), F.first("blocks").alias("blocks")
+    )
+    first = grouped.select(F.xxhash64("grp", own).alias("cell"), "node", "fragment").unionAll(
+        heads.select("grp", "head.*", _every(F.col("blocks")).alias("block")).select(F.xxhash64("grp", "block").alias("cell"), "node", "fragment")
     )
-    sure = staged(_links_of_cells(first.withColumn("fragment", F.col("node")), payload, kind), f"{label}-links")
+    sure = staged(_links_of_cells(first, payload, kind), f"{label}-links")
     if large.isEmpty():
         return sure
 
-    labels = components(sure).select("node", F.col("component").alias("fragment"))
-    placed = large.join(labels, "node", "left").withColumn("fragment", F.coalesce("fragment", "node"))
+    placed = in_fragments(large.drop("fragment"), components(sure if known is None else sure.unionAll(known)))
     parts = placed.groupBy("grp", "fragment").agg(F.count(F.lit(1)).alias("n"))
     core = parts.groupBy("grp").agg(F.max(F.struct("n", "fragment")).getField("fragment").alias("core"))
     placed = placed.join(core, "grp").withColumn("core", F.col("fragment") == F.col("core"))
@@ -247,14 +261,31 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return staged(over_batches(rows, work, "node bigint, value binary, items bigint"), "shingle-sets")
 
 
-def links(docs: DataFrame, distinct: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Verified links that join the nodes of ``distinct`` (node, text_key, mark, bands)."""
+def golay_groups(rows: DataFrame) -> DataFrame:
+    """Stored node and component for the nodes of ``rows`` (node, fp) joined by near fingerprints, as ``components``
+    returns them; equal sets may have several fingerprints, and equal fingerprints several sets."""
+    seen = staged(rows.select("node", "fp").distinct(), "node-fingerprints")
+    first = staged(seen.groupBy("fp").agg(F.min("node").alias("first")), "distinct-fingerprints")
+    found = simhash.links(first)
+    left, right = (first.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")) for end in ("a", "b"))
+    near = found.join(left, "a").join(right, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    same = seen.join(first, "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    return staged(components(near.unionAll(same).filter("a <> b")), "golay-groups")
+
+
+def links(docs: DataFrame, distinct: DataFrame, golay: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Verified links that join the nodes of ``distinct`` (node, text_key, mark, bands). Clusters are the groups
+    ``golay`` (node, component), and what bands add to them."""
+    near = golay.select(F.col("component").alias("a"), F.col("node").alias("b"))
     marks = distinct.select("node", F.col("mark").alias("value"))
-    banded = distinct.select(F.explode("bands").alias("grp"), "node", F.lit(0).cast("bigint").alias("items"))
-    near = components(joined(banded, marks, Marks, "band", block)).select("node", F.col("component").alias("grp"))
-    clusters = staged(near.unionAll(near.select(F.col("grp").alias("node"), "grp").distinct()), "clusters")
+    banded = in_fragments(distinct.select("node", "bands"), golay).select(
+        F.explode("bands").alias("grp"), "node", "fragment", F.lit(0).cast("bigint").alias("items")
+    )
+    members = components(near.unionAll(joined(banded, marks, Marks, "band", block, near))).select("node", F.col("component").alias("grp"))
+    clusters = staged(members.unionAll(members.select(F.col("grp").alias("node"), "grp").distinct()), "clusters")
     sets = shingle_sets(docs, clusters.join(distinct, "node"))
-    return joined(clusters.join(sets.select("node", "items"), "node"), sets, Sets, "set", block)
+    alone = clusters.join(sets.select("node", "items"), "node").withColumn("fragment", F.col("node"))
+    return joined(alone, sets, Sets, "set", block)
 
 
 def near_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -264,7 +295,7 @@ def near_groups(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         rows.groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("mark").alias("mark"), F.first("bands").alias("bands")),
         "distinct-nodes",
     )
-    groups = components(links(docs, distinct, block))
+    groups = components(links(docs, distinct, golay_groups(rows), block))
     return rows.select("doc_id", "text_key", "node").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 

@@ -6,9 +6,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stocktide.llm import jaccard
+from stocktide.llm import jaccard, simhash
 
 
 def _set(text):
@@ -118,3 +119,44 @@ def test_a_cell_returns_a_forest_not_its_pairs():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard.kept_rows(docs).count() == 0
+
+
+def _apart(a, b):
+    return (simhash.fingerprint(a.encode()) ^ simhash.fingerprint(b.encode())).bit_count()
+
+
+def _groups(found):
+    groups = {}
+    for r in found.collect():
+        groups.setdefault(r["component"], []).append(r["doc_id"])
+    return sorted(sorted(g) for g in groups.values())
+
+
+def test_golay_keys_find_near_texts_without_a_band(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    made = []
+    while len(made) < 60:
+        base = [rng.choice(words) for _ in range(300)]
+        copy = list(base)
+        copy[rng.randrange(300)] = "other"
+        if _apart(" ".join(base), " ".join(copy)) <= simhash.MOST_BITS:
+            made += [" ".join(base), " ".join(copy), " ".join(copy).upper()]
+    nodes = jaccard.nodes
+    monkeypatch.setattr(jaccard, "nodes", lambda docs: nodes(docs).withColumn("bands", F.array().cast("array<bigint>")))
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string")
+    assert _groups(jaccard.near_groups(docs)) == _expected(list(enumerate(made))) == [[i, i + 1, i + 2] for i in range(0, 60, 3)]
+
+
+@pytest.mark.parametrize("block", [7, jaccard.BLOCK])
+def test_near_fingerprints_are_joined_only_where_sets_are_alike(spark, block):
+    rng = random.Random(9)
+    passage = " ".join(f"w{i}" for i in range(21)) + " "  # many times over, it decides the fingerprint and not the set
+    made = [passage * 60 + " ".join(f"v{rng.randrange(5000)}" for _ in range(30)) for _ in range(30)]
+    made += [m + " w0" for m in made[:10]]
+    assert all(_apart(made[0], m) <= simhash.MOST_BITS for m in made)
+    rows = list(enumerate(made))
+    expected = _expected(rows)
+    assert len(expected) == 30
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert _groups(jaccard.near_groups(docs, block)) == expected
