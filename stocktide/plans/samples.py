@@ -154,8 +154,9 @@ def _document(*pairs: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
 
 
-def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as producers really send them: some quantities stand for a kind of defect."""
+def order_messages(spark: SparkSession, sf_dir: str, beside: tuple[str, ...] = ()) -> DataFrame:
+    """Orders as producers really send them: some quantities stand for a kind of defect. Columns ``beside`` the message
+    are what it says, null where it is cut off; an empty time is null too."""
     q = F.col("quantity")
     text = q.cast("string")
     quantity = (
@@ -177,7 +178,8 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pair("product_id", F.col("product_id")), quantity, price, customer, moment, status,
     )
     cut = F.when(q == 6, F.concat(F.lit("{"), _pair("order_id", F.col("order_id")))).otherwise(document)
-    return raw_orders(spark, sf_dir, spread_out=True).select(cut.cast("binary").alias("value"))
+    said = {name: F.when(q == 6, None).otherwise(F.when(q == 9, None).otherwise(F.col(name)) if name == "event_time" else F.col(name)) for name in beside}
+    return raw_orders(spark, sf_dir, spread_out=True).select(cut.cast("binary").alias("value"), *[c.alias(name) for name, c in said.items()])
 
 
 def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stocktide.operators import validate as V
 from stocktide.operators import windows as W
 from stocktide.plans import catalog
+from stocktide.plans import samples as S_
 from stocktide.sources import readers as R
 from stocktide.streaming import checked
 from stocktide.streaming import ingest as I
@@ -271,6 +272,54 @@ def test_reading_of_messages_is_small_enough_to_be_compiled(spark, tag):
         assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())) < 8000
 
 
+def test_a_split_batch_is_judged_once_and_not_held(spark, tmp_path, monkeypatch):
+    topic, held, real = tmp_path / "topic", [], I.write_batch
+    publish(spark, topic, [[reading("a", 0), "broken"], [reading("b", 1), {"device_id": "c"}, reading("d", 2)]])
+
+    def write(df, path, number):
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        real(df, path, number)
+
+    monkeypatch.setattr(I, "write_batch", write)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    stream = V.tag_telemetry(R.read_messages(spark, str(topic), files_per_batch=1))
+    I.drained(I.split_stream(stream, f"{tmp_path}/ok", f"{tmp_path}/bad", f"{tmp_path}/cp", once=True))
+    assert held == [before] * 4
+    judged = spark.read.parquet(f"{tmp_path}/cp-judged")  # of the last batch only
+    assert sorted((r["row"] is None, r["value"] is None) for r in judged.collect()) == [(False, True), (False, True), (True, False)]
+    assert rows(spark.read.parquet(f"{tmp_path}/ok"), "device_id") == [("a",), ("b",), ("d",)]
+    bad = sorted((r["_batch"], bytes(r["value"]), r["reason"]) for r in spark.read.parquet(f"{tmp_path}/bad").collect())
+    assert bad == [(0, b"broken", V.MALFORMED), (1, b'{"device_id": "c"}', V.MISSING)]
+
+
+def test_topics_and_split_tables_are_packed(spark, tmp_path):
+    topic = catalog._topic(spark, spark.createDataFrame([(bytearray(json.dumps(reading("a", 1)).encode()),)], "value binary"), "topic")
+    I.drained(I.split_stream(V.tag_telemetry(R.read_messages(spark, topic)), f"{tmp_path}/ok", f"{tmp_path}/bad", f"{tmp_path}/cp", once=True))
+    for folder in (topic.removeprefix("file:").replace("//", "/"), f"{tmp_path}/ok/_batch=0", f"{tmp_path}/bad/_batch=0"):
+        files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+        assert files and all(".zstd." in f for f in files)
+
+
+def test_order_fields_stand_beside_their_messages(spark, sf_dir):
+    made = S_.order_messages(spark, sf_dir, ("order_id", "store_id", "event_time"))
+    said = {n: F.get_json_object(F.col("value").cast("string"), f"$.{n}") for n in ("order_id", "store_id")}
+    when = F.try_to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.event_time"))
+    apart = [~c.eqNullSafe(F.col(n)) for n, c in said.items()] + [~when.eqNullSafe(F.try_to_timestamp("event_time"))]
+    assert made.where(apart[0] | apart[1] | apart[2]).isEmpty() and made.where("order_id IS NULL").count() > 0
+
+
+def test_events_with_a_contract_are_judged_in_generated_code(spark, tmp_path):
+    spark.createDataFrame([(bytearray(b"{}"), None, None)], R.MESSAGE_SCHEMA).write.parquet(str(tmp_path / "topic"))
+    messages = spark.read.parquet(str(tmp_path / "topic"))
+    for kind in checked.KINDS.values():
+        tagged = kind.tag(messages, contract=kind.contract)
+        for df in (V.valid(tagged), V.rejected(tagged)):
+            found = df._jdf.queryExecution().debug().codegenToSeq()
+            assert max(found.apply(i)._3().maxMethodCodeSize() for i in range(found.size())) < 8000
+        plan = V.valid(tagged)._jdf.queryExecution().executedPlan().toString()
+        assert "filter(array(" not in plan and "violations" not in plan
+
+
 def test_late_rows_land_on_their_own_day(spark, tmp_path):
     topic, out = tmp_path / "topic", f"{tmp_path}/out"
     day = 86_400
