@@ -142,3 +142,10 @@ def test_contract_required_and_shape(spark):
 def test_parsing_is_not_repeated_by_a_filter(spark):
     plan = V.valid(V.tag_orders(messages(spark, ORDER)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+def test_only_asked_values_of_fields_are_made(spark):
+    tagged = V.tag_orders(messages(spark, ORDER))
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "_long_quantity" in plan and "_double_price" in plan
+    assert "_long_price" not in plan and "_double_quantity" not in plan and plan.count("initcap") == 6
